@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lowtide.functions.sizing import pin
-from lowtide.model import METRICS, MODES
+from lowtide.model import METRIC_NAMES, METRICS, MODES
 from lowtide.operators import crosswalk as X
 from lowtide.operators import normalize as N
 from lowtide.plans import rulebook
@@ -48,9 +48,17 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ADM_MRN").alias("MRN"), "ADM_DT", "DIS_DT")
 
 
-def inputs(spark: SparkSession, sf_dir: str, procedures: bool = False) -> Inputs:
-    return Inputs(claims(spark, sf_dir, procedures), services(spark, sf_dir), drugs(spark, sf_dir),
-                  scans(spark, sf_dir), admissions(spark, sf_dir), STUDY)
+def inputs(spark: SparkSession, sf_dir: str, metrics: tuple[str, ...] = METRIC_NAMES, procedures: bool = False) -> Inputs:
+    """The tables the metrics read; others stay out."""
+    wanted = [METRICS[m] for m in metrics]
+    reads_services = any(m.source == "service" or m.secondary or m.admission for m in wanted)
+    return Inputs(
+        claims=claims(spark, sf_dir, procedures),
+        services=services(spark, sf_dir) if reads_services else None,
+        drugs=drugs(spark, sf_dir) if any(m.source == "drug" for m in wanted) else None,
+        scans=scans(spark, sf_dir) if any(m.repeat_scan for m in wanted) else None,
+        admissions=admissions(spark, sf_dir) if any(m.admission for m in wanted) else None,
+        study=STUDY)
 
 
 def levels(spark: SparkSession) -> dict:
@@ -62,20 +70,21 @@ def crosswalks(spark: SparkSession) -> dict[str, DataFrame]:
     raw, maps = X.upper_placeholders(C.crosswalk(spark)), levels(spark)
     full9, full10 = X.simplify(raw, 9, "d"), X.simplify(raw, 10, "d")
     pairs = {
-        "gems": full9.select("ICD9_subcode", "ICD10_subcode"),
+        "gems": full9,
         "bestMap9": X.unique_map(full9, 9, "upcode", maps[("hcc", 10)]),
-        "bestMap10": full10.select("ICD9_subcode", "ICD10_subcode"),
+        "bestMap10": full10,
         "reimburse": X.unique_map(full10, 10, "downcode", maps[("hcc", 9)]),
     }
-    return {name: pin(X.attach_both_levels(p.select("ICD9_subcode", "ICD10_subcode"), maps))[0] for name, p in pairs.items()}
-
+    named = [p.select(F.lit(name).alias("xname"), "ICD9_subcode", "ICD10_subcode") for name, p in pairs.items()]
+    table = pin(X.attach_both_levels(reduce(DataFrame.unionByName, named), maps))[0]
+    return {name: table.filter(F.col("xname") == name).drop("xname") for name in pairs}
 
 
 @lru_cache(maxsize=4)
 def references(spark: SparkSession) -> rulebook.References:
     """Lookups are fixed values, so they are resolved once per session."""
     raw = C.crosswalk(spark)
-    rules = {g: pin(N.normalise_rules(C.written_rules(spark, g), g))[0] for g in (9, 10)}
+    rules = {g: N.normalise_rules(C.written_rules(spark, g), g) for g in (9, 10)}
     return rulebook.References(rules, C.demographics(spark), C.surgery(spark), crosswalks(spark),
                                X.simplify(raw, 9, "p"), levels(spark))
 
@@ -91,6 +100,6 @@ def book(spark: SparkSession, metrics: tuple[str, ...], modes: tuple[str, ...])
 
 def run(spark: SparkSession, sf_dir: str, metrics: tuple[str, ...], modes: tuple[str, ...], procedures: bool = False,
         stage=None) -> DataFrame:
-    given = inputs(spark, sf_dir, procedures)
+    given = inputs(spark, sf_dir, metrics, procedures)
     rules = book(spark, metrics, modes)
     return evaluate(given, rules) if stage is None else evaluate(given, rules, stage)

@@ -1,4 +1,8 @@
-"""Operators on the ICD-9 / ICD-10 crosswalk and on rules mapped through it."""
+"""Operators on the ICD-9 / ICD-10 crosswalk and on rules mapped through it.
+
+Joins between lookups carry no hint: Spark broadcasts by its own size check.
+Only the join of claims with the crosswalk forces the side, behind a row bound.
+"""
 
 from __future__ import annotations
 
@@ -52,13 +56,13 @@ def unique_map(xwalk: DataFrame, generation: int, method: str, hcc: DataFrame |
     src, dst = f"ICD{generation}_subcode", f"ICD{other(generation)}_subcode"
     pairs = xwalk.select(src, dst).distinct()
     if method == "random":
-        best = F.min_by(dst, F.struct(F.xxhash64(F.col(dst), F.lit(SEED)), F.col(dst)))
+        best = F.min_by(dst, F.struct(F.md5(F.concat_ws("|", F.lit(str(SEED)), F.col(src), F.col(dst))), F.col(dst)))
         return pairs.groupBy(src).agg(best.alias(dst))
     if method not in ("upcode", "downcode"):
         raise ValueError(f"unknown method {method!r}")
     if hcc is None:
         raise ValueError("level map required")
-    right = lookup(hcc.select(F.col("subcode").alias("_code"), F.col("hcclev").cast("int").alias("_level")))
+    right = hcc.select(F.col("subcode").alias("_code"), F.col("hcclev").cast("int").alias("_level"))
     rated = pairs.join(right, F.col(dst) == F.col("_code"), "left")
     if method == "upcode":
         # lowest level, then greatest code: negate the level so one maximum does both
@@ -86,7 +90,7 @@ def attach_both_levels(xwalk: DataFrame, maps: dict[tuple[str, int], DataFrame])
     """Crosswalk with hcc and ccs of both generations (left joins, may fan out)."""
     out = xwalk
     for (kind, generation), levels in maps.items():
-        right = lookup(levels.select(F.col("subcode").alias("_code"), F.col(f"{kind}lev").alias(f"{kind}lev{generation}")))
+        right = levels.select(F.col("subcode").alias("_code"), F.col(f"{kind}lev").alias(f"{kind}lev{generation}"))
         out = out.join(right, F.col(f"ICD{generation}_subcode") == F.col("_code"), "left").drop("_code")
     return out
 
@@ -112,7 +116,7 @@ def match_codes(universe: DataFrame, code: str, rules: DataFrame) -> DataFrame:
     cut = with_prefixes(universe, code, "_part")
     # the stem's own rows keep startWith; equality must use the whole code
     hit = (F.col("_part") == F.col("subcode")) & (F.col("startWith") | (F.col("_part") == F.col(code)))
-    return cut.join(lookup(rules), hit).drop("_part")
+    return cut.join(rules, hit).drop("_part")
 
 
 # --- rules forward ---------------------------------------------------------
@@ -122,7 +126,7 @@ def _retarget(rules: DataFrame, pairs: DataFrame, source: str, target: str) -> D
     mapping = pairs.select(F.col(source).alias("_src"), F.col(target).alias("_dst")).filter(
         F.col("_src").isNotNull() & F.col("_dst").isNotNull()).distinct()
     kept = [c for c in rules.columns if c != "subcode"]
-    return (rules.join(lookup(mapping), F.col("subcode") == F.col("_src"))
+    return (rules.join(mapping, F.col("subcode") == F.col("_src"))
             .select(*kept, F.col("_dst").alias("subcode")).select(*rules.columns))
 
 
@@ -158,7 +162,7 @@ def forward_procedures(rules: DataFrame, procedures: DataFrame) -> DataFrame:
     """``_p`` rules to procedure targets; a code without target keeps its own."""
     bare = rules.filter(is_procedure_rule()).withColumn("subcode", F.regexp_replace("subcode", "_p$", ""))
     mapping = procedures.select(F.col("ICD9_subcode").alias("_src"), F.col("ICD10_subcode").alias("_dst")).distinct()
-    return (bare.join(lookup(mapping), F.col("subcode") == F.col("_src"), "left")
+    return (bare.join(mapping, F.col("subcode") == F.col("_src"), "left")
             .withColumn("subcode", F.coalesce("_dst", "subcode")).select(*rules.columns).distinct())
 
 

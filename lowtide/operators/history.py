@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lowtide.functions import dates
-from lowtide.operators.intervals import prior_summary
+from lowtide.operators.intervals import following_summary, prior_summary
 
 
 def claim_history(services: DataFrame, claims: DataFrame, keep_all: bool = False) -> DataFrame:
@@ -88,3 +88,32 @@ def kept_surgeries(surgeries: DataFrame, admissions: DataFrame) -> DataFrame:
     return (rated.join(latest, keys)
             .filter(stay.eqNullSafe(F.col("_best")))
             .drop("_best"))
+
+
+def surgeries_ahead(tests: DataFrame, surgeries: DataFrame) -> DataFrame:
+    """Tests with at least one later surgery: how many, the next and the last one."""
+    out = following_summary(tests, surgeries, ["MRN"], {
+        "n_surgeries": ("sum", F.lit(1)), "next_surgery": ("min", F.col("at")), "last_surgery": ("max", F.col("at"))})
+    return out.filter("n_surgeries > 0")
+
+
+def before_surgery(tests: DataFrame, window_days: int) -> DataFrame:
+    """Tests whose next surgery is at most ``window_days`` away."""
+    return tests.filter(dates.day_gap(F.col("next_surgery"), F.col("TEST_DATE")) <= window_days)
+
+
+def secondary_history(tests: DataFrame, secondary: DataFrame, unmatched: str = "reference") -> DataFrame:
+    """Tests with their earlier reference services: number, latest code and its gap.
+
+    A patient whose reference services all come later loses the test
+    (``unmatched='reference'``) or keeps it (``'keep'``); one with none keeps it.
+    """
+    if unmatched not in ("reference", "keep"):
+        raise ValueError(f"unknown policy {unmatched!r}")
+    out = prior_summary(tests, secondary, ["MRN"], {
+        "n_secondary": ("sum", F.lit(1)), "_last": ("max", F.struct(F.col("at"), F.col("CODE").alias("code")))})
+    if unmatched == "reference":
+        ever = secondary.select("MRN").distinct().withColumn("_ever", F.lit(True))
+        out = out.join(ever, "MRN", "left").filter((F.col("n_secondary") > 0) | F.col("_ever").isNull()).drop("_ever")
+    return out.select(*tests.columns, "n_secondary", F.col("_last.code").alias("rCODE"),
+                      dates.day_gap(F.col("TEST_DATE"), F.col("_last.at")).alias("rgap"))

@@ -121,3 +121,19 @@ def neighbours(events: DataFrame, key: str, at: str) -> DataFrame:
         ((F.unix_micros(F.coalesce("_next", "_after")) - here) / micros).alias("to_next"),
         ((here - F.unix_micros(F.coalesce("_prev", "_before"))) / micros).alias("since_last"),
     )
+
+
+#: Mirror point for looking forward in time with the same machinery (year 2200).
+_MIRROR = 2 * 3_629_059_200_000_000
+
+
+def _mirrored(at: Column) -> Column:
+    return F.timestamp_micros(F.lit(_MIRROR) - F.unix_micros(at))
+
+
+def following_summary(rows: DataFrame, events: DataFrame, keys: list[str], measures: dict[str, tuple[str, Column]],
+                      at: str = "TEST_DATE", event_at: str = "at", strict: bool = True) -> DataFrame:
+    """``prior_summary`` over the events after ``at``."""
+    flipped = rows.withColumn("_when", _mirrored(F.col(at)))
+    ahead = events.withColumn("_when", _mirrored(F.col(event_at)))
+    return prior_summary(flipped, ahead, keys, measures, at="_when", event_at="_when", strict=strict).drop("_when")

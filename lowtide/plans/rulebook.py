@@ -124,8 +124,7 @@ def _by_level(rules: DataFrame, hcc: DataFrame, ccs: DataFrame, code: str) -> Da
     hits = []
     for cls, levels, name in (("HCC", hcc, "hcclev"), ("CCS", ccs, "ccslev")):
         allowed = (F.col("tag") == "trim") | (F.col("cls") == cls)
-        hits.append(rules.filter(allowed).join(lookup(levels.filter(F.col(name).isNotNull())),
-                                               F.col("subcode") == F.col(name))
+        hits.append(rules.filter(allowed).join(levels.filter(F.col(name).isNotNull()), F.col("subcode") == F.col(name))
                     .select("mode", "metric", "tag", F.col(code).alias("probe"), F.lit(False).alias("stem")))
     return hits[0].unionByName(hits[1])
 
@@ -169,7 +168,7 @@ def _old_complaints(mode: Mode, rules: DataFrame, refs: References) -> DataFrame
                     F.struct(F.lit("HCC").alias("cls"), F.col("hcc").alias("subcode")),
                     F.struct(F.lit("CCS").alias("cls"), F.col("ccs").alias("subcode")))
     named = readings.select("code", "icd", "hcc", "ccs", F.inline(cells)).join(
-        lookup(rules.select("mode", "metric", "cls", "subcode")), ["cls", "subcode"])
+        rules.select("mode", "metric", "cls", "subcode"), ["cls", "subcode"])
     hit = (named.select("mode", "metric", "code", "icd", "hcc", "ccs").distinct()
            .groupBy("mode", "metric", "code").agg(F.count(F.lit(1)).alias("_hit")))
     every = hit.join(total, "code").filter("_hit = _all").select("mode", "metric", "code")
@@ -185,24 +184,9 @@ def build(refs: References, metrics: list[str], modes: list[str]) -> Rulebook:
     names = [m.name for m in wanted]
     limits = {r["key"]: (r["agemin"], r["agemax"], r["gendercrit"])
               for r in refs.demographics.filter(F.col("key").isin(names)).limit(1000).collect()}
-    per_mode = {m.name: pin(rules_of(m, refs).filter(F.col("metric").isin(names)))[0] for m in how}
-    rules = reduce(DataFrame.unionByName, per_mode.values())
-
-    native_levels = rules.filter((F.col("mode").isin([m.name for m in how if m.moves == "none"]))
-                                 & F.col("cls").isin("HCC", "CCS") & (F.col("role") != "service"))
-    bad_flag = rules.filter((F.col("role") == "redflag") & (F.col("cls") == "CPT")
-                            & ~F.col("metric").isin([m.name for m in wanted if m.secondary_window]))
-    if not native_levels.isEmpty():
-        raise ValueError("native mode takes no HCC or CCS rules")
-    if not bad_flag.isEmpty():
-        raise ValueError("CPT red flags need a metric that reads secondary codes")
-    if not rules.filter(F.col("startWith") & (F.col("cls") != "ICD")).isEmpty():
-        raise ValueError("only ICD rules may be stems")
-    if not rules.filter(F.col("startWith") & (F.col("role") == "service") & (F.col("cls") != "ICD")).isEmpty():
-        raise ValueError("service rules may not be stems")
-
-    flagged = frozenset(r["metric"] for r in rules.filter((F.col("role") == "redflag") & (F.col("cls") == "CPT"))
-                        .select("metric").distinct().limit(1000).collect())
+    rules = pin(reduce(DataFrame.unionByName, [rules_of(m, refs) for m in how]).filter(F.col("metric").isin(names)))[0]
+    per_mode = {m.name: rules.filter(F.col("mode") == m.name) for m in how}
+    flagged = _checked(rules, wanted, how)
     trims = [m.name for m in wanted if m.name in flagged and not m.needs_claim]
     tags = reduce(DataFrame.unionByName, [_claim_tags(m, per_mode[m.name], refs, trims) for m in how])
     if not any(m.dx_tied for m in wanted):
@@ -211,7 +195,7 @@ def build(refs: References, metrics: list[str], modes: list[str]) -> Rulebook:
                        | F.col("mode").isin([m.name for m in how if m.procedures])).distinct()
 
     claim_tags = lookup(_with_limits(tags, limits))
-    lengths = tuple(sorted(r["n"] for r in tags.filter("stem").select(F.length("probe").alias("n")).distinct()
+    lengths = tuple(sorted(r["n"] for r in claim_tags.filter("stem").select(F.length("probe").alias("n")).distinct()
                            .limit(100).collect()))
 
     mapped = [refs.crosswalks[m.crosswalk].filter(F.col("ICD9_subcode").isNotNull())
@@ -227,6 +211,24 @@ def build(refs: References, metrics: list[str], modes: list[str]) -> Rulebook:
                     limits, flagged)
 
 
+def _checked(rules: DataFrame, wanted: tuple[Metric, ...], how: tuple[Mode, ...]) -> frozenset[str]:
+    """Refuse rule sets the measures do not define; names of metrics with CPT red flags."""
+    native = [m.name for m in how if m.moves == "none"]
+    second = [m.name for m in wanted if m.secondary_window]
+    red_cpt = (F.col("role") == "redflag") & (F.col("cls") == "CPT")
+    problem = (
+        F.when(F.col("mode").isin(native) & F.col("cls").isin("HCC", "CCS") & (F.col("role") != "service"),
+               "native mode takes no HCC or CCS rules")
+        .when(red_cpt & ~F.col("metric").isin(second), "CPT red flags need a metric that reads secondary codes")
+        .when(F.col("startWith") & (F.col("cls") != "ICD"), "only ICD rules may be stems"))
+    found = rules.select(problem.alias("problem"), F.when(red_cpt, F.col("metric")).alias("flagged")).distinct()
+    rows = found.limit(1000).collect()
+    problems = sorted({r["problem"] for r in rows if r["problem"]})
+    if problems:
+        raise ValueError("; ".join(problems))
+    return frozenset(r["flagged"] for r in rows if r["flagged"])
+
+
 def _with_limits(tags: DataFrame, limits: dict[str, tuple[int, int, str]]) -> DataFrame:
     column = F.col("metric")
     return tags.withColumns({
