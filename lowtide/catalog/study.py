@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lowtide.functions.sizing import pin
-from lowtide.model import METRIC_NAMES, METRICS, MODES
+from lowtide.model import METRIC_NAMES, METRICS, MODES, RESULT_SCHEMA
 from lowtide.operators import crosswalk as X
 from lowtide.operators import normalize as N
 from lowtide.plans import rulebook
 from lowtide.plans.metrics import Inputs, evaluate
-from lowtide.sources import builds, clinical as C, readers
+from lowtide.session import scratch_dir
+from lowtide.sources import builds, clinical as C, readers, sinks
 from lowtide.sources import vocabulary as V
 
 STUDY = C.STUDY
@@ -103,3 +104,22 @@ def run(spark: SparkSession, sf_dir: str, metrics: tuple[str, ...], modes: tuple
     given = inputs(spark, sf_dir, metrics, procedures)
     rules = book(spark, metrics, modes)
     return evaluate(given, rules) if stage is None else evaluate(given, rules, stage)
+
+
+_results: dict[tuple[str, str], str] = {}
+
+
+def write_grid(spark: SparkSession, sf_dir: str) -> str:
+    """Compute all 55 cells in one staged run and store the long result."""
+    grid = run(spark, sf_dir, METRIC_NAMES, tuple(MODES), stage=sinks.stage)
+    path = scratch_dir(spark, "grid")
+    sinks.write_result(grid, path)
+    return path
+
+
+def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored grid; computed once per session and data folder, read by every report."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _results:
+        _results[key] = write_grid(spark, sf_dir)
+    return sinks.read_result(spark, _results[key], RESULT_SCHEMA)

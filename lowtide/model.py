@@ -27,9 +27,11 @@ FEE = T.StructType([T.StructField("HCPCS", STRING), T.StructField("MOD", STRING)
 DRUG_PRICE = T.StructType([T.StructField("old_names_tokenized", STRING), T.StructField("Drug Codes", STRING),
                            T.StructField("NDC", STRING), T.StructField("Median_Per_Unit_Cost", DOUBLE)])
 
-#: Columns of the long result, one row per (mode, metric, term) and grain key.
-RESULT_COLUMNS = ["mode", "metric", "term", "MRN", "ENC_ID", "TEST_CODE", "TEST_DATE", "TEST_DATE_a",
-                  "TEST_DATE_month", "AgeAtTest", "CLAIM_DATE", "ADM_DT_a", "SURG_DATE", "based_on"]
+#: The long result, one row per (mode, metric, term) and grain key.
+RESULT_SCHEMA = schema(mode=STRING, metric=STRING, term=STRING, MRN=STRING, ENC_ID=STRING, TEST_CODE=STRING,
+                       TEST_DATE=TS, TEST_DATE_a=DATE, TEST_DATE_month=STRING, AgeAtTest=DOUBLE, CLAIM_DATE=TS,
+                       ADM_DT_a=DATE, SURG_DATE=TS, based_on=STRING)
+RESULT_COLUMNS = RESULT_SCHEMA.names
 
 
 @dataclass(frozen=True)

@@ -177,8 +177,8 @@ def _patient_facts(claim_hit: DataFrame | None, service_hit: DataFrame | None) -
         F.min(F.when(F.col("kind") == "ref", F.col("at"))).alias("first_ref"))
 
 
-def _qualify(tests: DataFrame, firsts: DataFrame | None, facts: DataFrame | None, book: Rulebook) -> DataFrame:
-    """Cohort, claim-history and secondary-code conditions."""
+def _with_history(tests: DataFrame, firsts: DataFrame | None, facts: DataFrame | None, book: Rulebook) -> DataFrame:
+    """Tests with the first indication, claim, new complaint and secondary code of the patient."""
     nothing = F.lit(None).cast("timestamp")
     if facts is not None:
         tests = tests.join(facts, CELL, "left")
@@ -187,16 +187,25 @@ def _qualify(tests: DataFrame, firsts: DataFrame | None, facts: DataFrame | None
     if firsts is not None:
         first, new = _pick_first(book)
         tests = tests.join(firsts, "MRN", "left").withColumn("first_any", first).withColumn("first_new", new)
-        tests = tests.drop(*[c for c in firsts.columns if c != "MRN"])
-    else:
-        tests = tests.withColumn("first_any", nothing).withColumn("first_new", nothing)
+        return tests.drop(*[c for c in firsts.columns if c != "MRN"])
+    return tests.withColumn("first_any", nothing).withColumn("first_new", nothing)
+
+
+def _cohort_ok(book: Rulebook) -> Column:
+    """The patient has an indication, and before the test where that matters."""
+    dated = ~book.is_one("after_dx") | (F.col("first_dx") <= F.col("TEST_DATE"))
+    return F.coalesce((~book.is_one("dx_tied") | F.col("first_dx").isNotNull()) & dated, F.lit(False))
+
+
+def _history_ok(book: Rulebook) -> Column:
+    """An earlier claim where one is needed; secondary codes not all in the future.
+
+    A patient whose reference services all come later is dropped, one with none is kept.
+    """
     at = F.col("TEST_DATE")
-    return tests.filter(
-        (~book.is_one("dx_tied") | F.col("first_dx").isNotNull())
-        & (~book.is_one("after_dx") | (F.col("first_dx") <= at))
-        & (~book.is_one("needs_claim") | (F.col("first_any") <= at))
-        # a patient whose reference services all come later is dropped, one with none is kept
-        & (~book.is_one("secondary") | F.col("first_ref").isNull() | (F.col("first_ref") <= at)))
+    claimed = ~book.is_one("needs_claim") | (F.col("first_any") <= at)
+    second = ~book.is_one("secondary") | F.col("first_ref").isNull() | (F.col("first_ref") <= at)
+    return F.coalesce(claimed & second, F.lit(False))
 
 
 def _admissions(tests: DataFrame, surgery_hit: DataFrame | None, inputs: Inputs, book: Rulebook) -> DataFrame:
@@ -242,8 +251,11 @@ def _after_report_start(tests: DataFrame, inputs: Inputs, book: Rulebook) -> Dat
 
 
 def _flagged(tests: DataFrame, claim_hit: DataFrame, service_hit: DataFrame | None, inputs: Inputs,
-             book: Rulebook) -> DataFrame:
-    """Red-flag marks per row, spread to all rows of the patient in the cell."""
+             book: Rulebook, within: Column | None = None) -> DataFrame:
+    """Red-flag marks per row, spread to all rows of the patient in the cell.
+
+    ``within`` limits the rows whose marks count (default: all rows).
+    """
     lookback = book.per_metric("lookback")
     red = claim_hit.filter(F.col("tag") == "red").select(*CELL, "at")
     tests = exists_within(tests, red, CELL, lookback, "_red")
@@ -270,6 +282,8 @@ def _flagged(tests: DataFrame, claim_hit: DataFrame, service_hit: DataFrame | No
     can_score = ~book.is_one("repeat_scan") | F.col("is_repeat")
     early_admission = F.col("metric").isin([m.name for m in book.metrics if m.admission == "test"])
     can_score = can_score & ~(early_admission & F.col("adms_flag"))
+    if within is not None:
+        can_score = can_score & within
     patient = W.partitionBy(*CELL)
     return (tests.withColumn("_scored", can_score)
             .withColumn("_out", F.max(F.col("_scored") & marked).over(patient))
@@ -386,7 +400,7 @@ def evaluate(inputs: Inputs, book: Rulebook, stage: Stage = _in_line) -> DataFra
     facts = _patient_facts(claim_hit if book.has("dx_tied") else None, service_hit if book.has("secondary") else None)
     if facts is not None:
         facts = stage(facts, "patient_facts")
-    tests = _qualify(tests, firsts, facts, book)
+    tests = _with_history(tests, firsts, facts, book).filter(_cohort_ok(book) & _history_ok(book))
     if book.has("admission"):
         surgeries = service_hit.filter(F.col("tag") == "surgery") if service_hit is not None else None
         tests = _admissions(tests, surgeries, inputs, book)

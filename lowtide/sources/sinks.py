@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lowtide.session import scratch_dir
 
 
 def write_result(result: DataFrame, path: str) -> None:
@@ -11,10 +14,21 @@ def write_result(result: DataFrame, path: str) -> None:
     result.write.mode("overwrite").partitionBy("mode", "metric", "term").parquet(path)
 
 
-def read_result(spark, path: str, schema) -> DataFrame:
+def read_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    The lineage ends at the files, so a lost executor re-reads them instead of
+    recomputing claims and services, and several readers share one pass.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """Comma-separated with a header; the report is already aggregated."""
     report.write.mode("overwrite").csv(path, header=True)
