@@ -11,7 +11,7 @@ from lowtide.catalog import study
 from lowtide.catalog.shape import present
 from lowtide.model import METRIC_NAMES, MODES
 from lowtide.operators import report as R
-from lowtide.sources import clinical as C
+from lowtide.sources import clinical as C, sinks
 
 MONTHS = [f"1998_{m}" for m in range(1, 13)]
 SHOWN = ["mode", "metric", "term", "MRN", "ENC_ID", "TEST_CODE", "TEST_DATE_a", "TEST_DATE_month", "AgeAtTest",
@@ -31,7 +31,7 @@ def _metric(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def _mode(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        return shown(study.run(spark, sf, METRIC_NAMES, (name,)))
+        return shown(study.run(spark, sf, METRIC_NAMES, (name,), stage=sinks.stage))
     return query
 
 
