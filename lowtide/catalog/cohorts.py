@@ -24,7 +24,7 @@ S = study.STUDY
 
 
 def _rules(spark: SparkSession, metric: str, role: str | None = None, mode: str = "10to10") -> DataFrame:
-    rules = K.of_metric(rules_of(MODES[mode], study.references(spark)), metric).drop("mode")
+    rules = K.of_metric(rules_of((MODES[mode],), study.references(spark)), metric).drop("mode")
     return rules if role is None else rules.filter(F.col("role") == role)
 
 

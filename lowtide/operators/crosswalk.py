@@ -113,21 +113,24 @@ def match_codes(universe: DataFrame, code: str, rules: DataFrame) -> DataFrame:
     Codes are cut into leading parts and joined by equality, which plans as a
     hash join; ``startswith`` as a join condition would be a nested loop.
     """
-    cut = with_prefixes(universe, code, "_part")
-    # the stem's own rows keep startWith; equality must use the whole code
-    hit = (F.col("_part") == F.col("subcode")) & (F.col("startWith") | (F.col("_part") == F.col(code)))
-    return cut.join(rules, hit).drop("_part")
+    cut = with_prefixes(universe, code, "subcode")
+    hits = cut.join(rules, [*_shared(universe, rules), "subcode"])
+    return hits.filter(F.col("startWith") | (F.col("subcode") == F.col(code)))
 
 
 # --- rules forward ---------------------------------------------------------
 
+def _shared(left: DataFrame, right: DataFrame) -> list[str]:
+    """Both sides may carry a ``mode``; then rules only meet their mode's rows."""
+    return ["mode"] if "mode" in left.columns and "mode" in right.columns else []
+
+
 def _retarget(rules: DataFrame, pairs: DataFrame, source: str, target: str) -> DataFrame:
     """Replace ``subcode`` by its targets; rules without one are dropped."""
-    mapping = pairs.select(F.col(source).alias("_src"), F.col(target).alias("_dst")).filter(
-        F.col("_src").isNotNull() & F.col("_dst").isNotNull()).distinct()
-    kept = [c for c in rules.columns if c != "subcode"]
-    return (rules.join(mapping, F.col("subcode") == F.col("_src"))
-            .select(*kept, F.col("_dst").alias("subcode")).select(*rules.columns))
+    by = _shared(rules, pairs)
+    mapping = pairs.select(*by, F.col(source).alias("subcode"), F.col(target).alias("_dst")).filter(
+        F.col("subcode").isNotNull() & F.col("_dst").isNotNull()).distinct()
+    return (rules.join(mapping, [*by, "subcode"]).withColumn("subcode", F.col("_dst")).select(*rules.columns))
 
 
 def forward_exact(rules: DataFrame, xwalk: DataFrame) -> DataFrame:
@@ -139,7 +142,8 @@ def forward_exact(rules: DataFrame, xwalk: DataFrame) -> DataFrame:
 def forward_stems(rules: DataFrame, xwalk: DataFrame) -> DataFrame:
     """ICD-9 stems: targets of every code under the stem, themselves stems again."""
     stems = rules.filter((F.col("cls") == "ICD") & F.col("startWith"))
-    cut = with_prefixes(xwalk.select("ICD9_subcode", "ICD10_subcode").distinct(), "ICD9_subcode", "_part")
+    by = _shared(rules, xwalk)
+    cut = with_prefixes(xwalk.select(*by, "ICD9_subcode", "ICD10_subcode").distinct(), "ICD9_subcode", "_part")
     return _retarget(stems, cut, "_part", "ICD10_subcode").distinct()
 
 

@@ -91,12 +91,42 @@ def scope_of(mode: Mode) -> str:
     return mode.crosswalk if mode.moves == "claims" else ALL_CODES
 
 
-def rules_of(mode: Mode, refs: References) -> DataFrame:
-    """Rules as a mode applies them."""
-    rules = refs.rules[mode.basis]
-    if mode.moves == "rules":
-        rules = X.forward_rules(rules, refs.crosswalks[mode.crosswalk], refs.procedures if mode.procedures else None)
-    return rules.filter(F.col("subcode").isNotNull() & (F.length("subcode") > 0)).withColumn("mode", F.lit(mode.name))
+def _moving(modes: tuple[Mode, ...], moves: str) -> list[Mode]:
+    return [m for m in modes if m.moves == moves]
+
+
+def _names(modes: list[Mode]) -> list[str]:
+    return [m.name for m in modes]
+
+
+def _for_modes(df: DataFrame, modes: list[Mode]) -> DataFrame:
+    """The table once per mode."""
+    return df.withColumn("mode", F.explode(F.array(*[F.lit(m.name) for m in modes])))
+
+
+def _crosswalk_of(refs: References, modes: list[Mode]) -> DataFrame:
+    """The modes' crosswalks under one ``mode`` column."""
+    return reduce(DataFrame.unionByName, [refs.crosswalks[m.crosswalk].withColumn("mode", F.lit(m.name)) for m in modes])
+
+
+def rules_of(modes: tuple[Mode, ...], refs: References) -> DataFrame:
+    """Rules as the modes apply them: mapped forward, as written, or native.
+
+    All modes of a kind go through the same joins, told apart by ``mode``.
+    """
+    parts = []
+    forward = _moving(modes, "rules")
+    if forward:
+        written = _for_modes(refs.rules[9], forward)
+        parts.append(X.forward_rules(written, _crosswalk_of(refs, forward), None))
+        coded = [m for m in forward if m.procedures]
+        if coded and refs.procedures is not None:
+            parts.append(X.forward_procedures(written.filter(F.col("mode").isin(_names(coded))), refs.procedures))
+    for moves, generation in (("claims", 9), ("none", 10)):
+        still = _moving(modes, moves)
+        if still:
+            parts.append(_for_modes(refs.rules[generation], still))
+    return reduce(DataFrame.unionByName, parts).filter(F.length("subcode") > 0)
 
 
 def _tagged(rules: DataFrame, needs_trim: list[str]) -> DataFrame:
@@ -119,60 +149,82 @@ def _level_tagged(rules: DataFrame, needs_trim: list[str]) -> DataFrame:
     return rules.withColumn("_k", F.explode(kinds)).withColumn("tag", F.col("_k.tag")).drop("_k")
 
 
-def _by_level(rules: DataFrame, hcc: DataFrame, ccs: DataFrame, code: str) -> DataFrame:
-    """Codes whose level is named by a rule: red flags by class, trimming by any class."""
-    hits = []
-    for cls, levels, name in (("HCC", hcc, "hcclev"), ("CCS", ccs, "ccslev")):
-        allowed = (F.col("tag") == "trim") | (F.col("cls") == cls)
-        hits.append(rules.filter(allowed).join(levels.filter(F.col(name).isNotNull()), F.col("subcode") == F.col(name))
-                    .select("mode", "metric", "tag", F.col(code).alias("probe"), F.lit(False).alias("stem")))
-    return hits[0].unionByName(hits[1])
+def _by_level(rules: DataFrame, levels: DataFrame, code: str) -> DataFrame:
+    """Codes whose level is named by a rule: red flags by class, trimming by any class.
+
+    ``levels`` has the code, ``cls`` (HCC or CCS), ``subcode`` (the level) and
+    possibly ``mode``.
+    """
+    by = ["mode"] if "mode" in levels.columns else []
+    hits = rules.withColumnRenamed("cls", "_wanted").join(levels, [*by, "subcode"])
+    return hits.filter((F.col("tag") == "trim") | (F.col("_wanted") == F.col("cls"))).select(
+        "mode", "metric", "tag", F.col(code).alias("probe"), F.lit(False).alias("stem"))
+
+
+def _level_cells(df: DataFrame, keys: list[str], hcc: str, ccs: str) -> DataFrame:
+    """One row per code and level."""
+    cells = F.array(F.struct(F.lit("HCC").alias("cls"), F.col(hcc).alias("subcode")),
+                    F.struct(F.lit("CCS").alias("cls"), F.col(ccs).alias("subcode")))
+    return df.select(*keys, F.inline(cells)).filter(F.col("subcode").isNotNull()).distinct()
 
 
-def _claim_tags(mode: Mode, rules: DataFrame, refs: References, needs_trim: list[str]) -> DataFrame:
+def _claim_tags(modes: tuple[Mode, ...], rules: DataFrame, refs: References, needs_trim: list[str]) -> DataFrame:
     out = ["mode", "metric", "tag", "probe", "stem"]
+    mode = F.col("mode")
+    backward, forward = _moving(modes, "claims"), _moving(modes, "rules")
     tagged = _tagged(rules, needs_trim)
-    if mode.moves == "claims":
-        xwalk = refs.crosswalks[mode.crosswalk].filter(F.col("ICD9_subcode").isNotNull())
-        direct = X.match_codes(xwalk.select("ICD10_subcode", "ICD9_subcode").distinct(), "ICD9_subcode", tagged)
-        parts = [direct.select("mode", "metric", "tag", F.col("ICD10_subcode").alias("probe"), F.lit(False).alias("stem"))]
-        levels = xwalk.select("ICD10_subcode", F.col("hcclev9").alias("hcclev"), F.col("ccslev9").alias("ccslev")).distinct()
-        hcc, ccs, code = levels, levels, "ICD10_subcode"
-    else:
-        parts = [tagged.select("mode", "metric", "tag", F.col("subcode").alias("probe"), F.col("startWith").alias("stem"))]
-        hcc, ccs, code = refs.levels[("hcc", 10)], refs.levels[("ccs", 10)], "code"
-        hcc, ccs = (d.withColumnRenamed("subcode", "code") for d in (hcc, ccs))
-    if mode.moves != "none":
-        parts.append(_by_level(_level_tagged(rules, needs_trim), hcc, ccs, code))
+    levelled = _level_tagged(rules, needs_trim)
+    stay = tagged.filter(~mode.isin(_names(backward))) if backward else tagged
+    parts = [stay.select("mode", "metric", "tag", F.col("subcode").alias("probe"), F.col("startWith").alias("stem"))]
+    if forward:
+        cells = [refs.levels[(kind, 10)].select(F.col("subcode").alias("code"), F.lit(kind.upper()).alias("cls"),
+                                                F.col(f"{kind}lev").alias("subcode")) for kind in ("hcc", "ccs")]
+        levels = cells[0].unionByName(cells[1]).filter(F.col("subcode").isNotNull())
+        parts.append(_by_level(levelled.filter(mode.isin(_names(forward))), levels, "code"))
+    if backward:
+        xwalk = _crosswalk_of(refs, backward).filter(F.col("ICD9_subcode").isNotNull())
+        pairs = xwalk.select("mode", "ICD10_subcode", "ICD9_subcode").distinct()
+        direct = X.match_codes(pairs, "ICD9_subcode", tagged.filter(mode.isin(_names(backward))))
+        parts.append(direct.select("mode", "metric", "tag", F.col("ICD10_subcode").alias("probe"), F.lit(False).alias("stem")))
+        levels = _level_cells(xwalk, ["mode", "ICD10_subcode"], "hcclev9", "ccslev9")
+        parts.append(_by_level(levelled.filter(mode.isin(_names(backward))), levels, "ICD10_subcode"))
     return reduce(DataFrame.unionByName, parts).select(*out).distinct()
 
 
-def _old_complaints(mode: Mode, rules: DataFrame, refs: References) -> DataFrame:
-    """ICD-10 codes whose every reading is an indication (equality, stems too)."""
+def _old_complaints(modes: tuple[Mode, ...], rules: DataFrame, refs: References) -> DataFrame:
+    """(mode, metric, code): ICD-10 codes whose every reading is an indication.
+
+    Whole codes only; a stem counts by its own text. A reading is a code with
+    its levels: the code's own, or each code it maps back to.
+    """
+    mode = F.col("mode")
     rules = rules.filter((F.col("role") == "indication")
                          & F.col("metric").isin([m.name for m in METRICS.values() if m.cull_old_complaint]))
-    if mode.moves == "claims":
-        readings = refs.crosswalks[mode.crosswalk].filter(F.col("ICD9_subcode").isNotNull()).select(
-            F.col("ICD10_subcode").alias("code"), F.col("ICD9_subcode").alias("icd"),
-            F.col("hcclev9").alias("hcc"), F.col("ccslev9").alias("ccs")).distinct()
-        whole = None
-    else:
-        whole = rules.filter(F.col("cls") == "ICD").select("mode", "metric", F.col("subcode").alias("code"))
-        if mode.moves == "none":
-            return whole.distinct()
+    backward, forward = _moving(modes, "claims"), _moving(modes, "rules")
+    direct = rules.filter((F.col("cls") == "ICD") & ~mode.isin([*_names(backward), ""]))
+    parts = [direct.select("mode", "metric", F.col("subcode").alias("code"))]
+    readings = []
+    if backward:
+        readings.append(_crosswalk_of(refs, backward).filter(F.col("ICD9_subcode").isNotNull()).select(
+            "mode", F.col("ICD10_subcode").alias("code"), F.col("ICD9_subcode").alias("icd"),
+            F.col("hcclev9").alias("hcc"), F.col("ccslev9").alias("ccs")))
+    if forward:
         hcc = refs.levels[("hcc", 10)].select(F.col("subcode").alias("code"), F.col("hcclev").alias("hcc"))
         ccs = refs.levels[("ccs", 10)].select(F.col("subcode").alias("code"), F.col("ccslev").alias("ccs"))
-        readings = hcc.join(ccs, "code", "full").select("code", F.col("code").alias("icd"), "hcc", "ccs").distinct()
-    total = readings.groupBy("code").agg(F.count(F.lit(1)).alias("_all"))
-    cells = F.array(F.struct(F.lit("ICD").alias("cls"), F.col("icd").alias("subcode")),
-                    F.struct(F.lit("HCC").alias("cls"), F.col("hcc").alias("subcode")),
-                    F.struct(F.lit("CCS").alias("cls"), F.col("ccs").alias("subcode")))
-    named = readings.select("code", "icd", "hcc", "ccs", F.inline(cells)).join(
-        rules.select("mode", "metric", "cls", "subcode"), ["cls", "subcode"])
-    hit = (named.select("mode", "metric", "code", "icd", "hcc", "ccs").distinct()
-           .groupBy("mode", "metric", "code").agg(F.count(F.lit(1)).alias("_hit")))
-    every = hit.join(total, "code").filter("_hit = _all").select("mode", "metric", "code")
-    return every if whole is None else every.unionByName(whole).distinct()
+        both = _for_modes(hcc.join(ccs, "code", "full"), forward)
+        readings.append(both.select("mode", "code", F.col("code").alias("icd"), "hcc", "ccs"))
+    if readings:
+        reading = reduce(DataFrame.unionByName, readings).distinct()
+        cells = F.array(F.struct(F.lit("ICD").alias("cls"), F.col("icd").alias("subcode")),
+                        F.struct(F.lit("HCC").alias("cls"), F.col("hcc").alias("subcode")),
+                        F.struct(F.lit("CCS").alias("cls"), F.col("ccs").alias("subcode")))
+        total = reading.groupBy("mode", "code").agg(F.count(F.lit(1)).alias("_all"))
+        named = reading.select("mode", "code", "icd", "hcc", "ccs", F.inline(cells)).join(
+            rules.select("mode", "metric", "cls", "subcode"), ["mode", "cls", "subcode"])
+        hit = (named.select("mode", "metric", "code", "icd", "hcc", "ccs").distinct()
+               .groupBy("mode", "metric", "code").agg(F.count(F.lit(1)).alias("_hit")))
+        parts.append(hit.join(total, ["mode", "code"]).filter("_hit = _all").select("mode", "metric", "code"))
+    return reduce(DataFrame.unionByName, parts).distinct()
 
 
 def build(refs: References, metrics: list[str], modes: list[str]) -> Rulebook:
@@ -184,11 +236,10 @@ def build(refs: References, metrics: list[str], modes: list[str]) -> Rulebook:
     names = [m.name for m in wanted]
     limits = {r["key"]: (r["agemin"], r["agemax"], r["gendercrit"])
               for r in refs.demographics.filter(F.col("key").isin(names)).limit(1000).collect()}
-    rules = pin(reduce(DataFrame.unionByName, [rules_of(m, refs) for m in how]).filter(F.col("metric").isin(names)))[0]
-    per_mode = {m.name: rules.filter(F.col("mode") == m.name) for m in how}
+    rules = pin(rules_of(how, refs).filter(F.col("metric").isin(names)))[0]
     flagged = _checked(rules, wanted, how)
     trims = [m.name for m in wanted if m.name in flagged and not m.needs_claim]
-    tags = reduce(DataFrame.unionByName, [_claim_tags(m, per_mode[m.name], refs, trims) for m in how])
+    tags = _claim_tags(how, rules, refs, trims)
     if not any(m.dx_tied for m in wanted):
         tags = tags.filter(F.col("tag") != "dx")
     tags = tags.filter((F.col("tag") != "proc")
@@ -201,9 +252,8 @@ def build(refs: References, metrics: list[str], modes: list[str]) -> Rulebook:
     mapped = [refs.crosswalks[m.crosswalk].filter(F.col("ICD9_subcode").isNotNull())
               .select(F.col("ICD10_subcode").alias("code"), F.lit(scope_of(m)).alias("scope"),
                       F.lit(None).cast("string").alias("cell")) for m in how if m.moves == "claims"]
-    old = [_old_complaints(m, per_mode[m.name], refs)
-           .select("code", F.lit(None).cast("string").alias("scope"), F.concat_ws("|", "mode", "metric").alias("cell"))
-           for m in how]
+    old = [_old_complaints(how, rules, refs).select(
+        "code", F.lit(None).cast("string").alias("scope"), F.concat_ws("|", "mode", "metric").alias("cell"))]
     facts = reduce(DataFrame.unionByName, mapped + old).groupBy(F.col("code").alias("probe")).agg(
         F.collect_set("scope").alias("scopes"), F.collect_set("cell").alias("old_in"))
 
