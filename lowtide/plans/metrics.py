@@ -401,13 +401,15 @@ def evaluate(inputs: Inputs, book: Rulebook, stage: Stage = _in_line) -> DataFra
     if facts is not None:
         facts = stage(facts, "patient_facts")
     tests = _with_history(tests, firsts, facts, book).filter(_cohort_ok(book) & _history_ok(book))
+    # several branches read the candidates: admissions, report start, red flags
+    tests = stage(tests, "candidates")
     if book.has("admission"):
         surgeries = service_hit.filter(F.col("tag") == "surgery") if service_hit is not None else None
         tests = _admissions(tests, surgeries, inputs, book)
     else:
         tests = tests.withColumns({"ADM_DT_a": F.lit(None).cast("date"), "SURG_DATE": F.lit(None).cast("timestamp"),
                                    "adms_flag": F.lit(False)})
-    tests = _after_report_start(tests, inputs, book)
+    tests = stage(_after_report_start(tests, inputs, book), "qualified")
     tests = _flagged(tests, claim_hit, service_hit, inputs, book)
     tests = _culled(tests, inputs, book)
     result = stage(_service_terms(tests, book), "service_terms")
