@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from lowtide.model import METRICS, MODES
 from lowtide.sources import vocabulary as V
 from lowtide.sources.clinical import STUDY
@@ -172,18 +174,17 @@ add(f"""wide AS (
     FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)))""")
 
 
-def with_base(body: str, extra: list[str] | None = None) -> str:
-    """``body`` under the base relations it reaches (found by name)."""
+def with_base(body: str, extra: list[str] | None = None, given: frozenset[str] = frozenset()) -> str:
+    """``body`` under the base relations it reaches (found by name), but for those ``given`` as tables."""
     extra = extra or []
     text = " ".join(extra) + " " + body
     needed: set[str] = set()
     frontier = [text]
-    import re
     words = {name: re.compile(rf"\b{name}\b") for name, _ in BASE}
     while frontier:
         chunk = frontier.pop()
         for name, sql in BASE:
-            if name not in needed and words[name].search(chunk):
+            if name not in needed and name not in given and words[name].search(chunk):
                 needed.add(name)
                 frontier.append(sql)
     parts = [sql for name, sql in BASE if name in needed] + extra
