@@ -187,10 +187,8 @@ def win2_repeat_scans(spark: SparkSession, sf: str) -> DataFrame:
     """Scan services whose patient and encounter belong to a repeat scan."""
     repeats = repeat_scans(study.scans(spark, sf), 730)
     tests = _tests(spark, sf, "dexa")
-    # one row: the earliest test
-    begin = tests.agg(F.min("TEST_DATE").alias("begin")).withColumn("one", F.lit(1))
-    late = (repeats.withColumn("one", F.lit(1)).join(F.broadcast(begin), "one")
-            .filter(F.col("EVT_DATE") >= F.col("begin")).select("MRN").distinct())
+    begin = tests.agg(F.min("TEST_DATE")).scalar()
+    late = repeats.filter(F.col("EVT_DATE") >= begin).select("MRN").distinct()
     rows = tests.join(late, "MRN", "left_semi").join(repeats.select("ENC_ID").distinct(), "ENC_ID", "left_semi")
     return present(rows, "MRN", "ENC_ID", "TEST_CODE", "TEST_DATE")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lowtide.catalog import study
 from lowtide.catalog.shape import present
-from lowtide.model import METRIC_NAMES, MODES
+from lowtide.model import METRIC_NAMES, METRICS, MODES
 from lowtide.operators import report as R
 from lowtide.sources import clinical as C, sinks
 
@@ -24,8 +24,12 @@ def shown(result: DataFrame) -> DataFrame:
 
 
 def _metric(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    metric = METRICS[name]
+    # steps that read the candidates several times write them once
+    stage = sinks.stage if metric.admission or metric.repeat_scan else None
+
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        return shown(study.run(spark, sf, (name,), ("10to10",), procedures=name == "feed"))
+        return shown(study.run(spark, sf, (name,), ("10to10",), procedures=name == "feed", stage=stage))
     return query
 
 

@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lowtide.functions.sizing import lookup
+from lowtide.functions.sizing import lookup, pin
 from lowtide.operators.crosswalk import match_codes
+from lowtide.operators.skew import join_facts
 
 
 def in_limits(age: Column, gender: Column, agemin: Column, agemax: Column, wanted: Column) -> Column:
@@ -42,15 +43,39 @@ def resolve_codes(events: DataFrame, code: str, rules: DataFrame) -> DataFrame:
     return match_codes(universe, code, rules).select(code).distinct()
 
 
+def mark_codes(events: DataFrame, code: str, rules: DataFrame, mark: str) -> DataFrame:
+    """Add ``mark``: the event's code is under a rule, by equality or stem.
+
+    One hash join with the whole codes and one per stem length, all against the
+    size-checked rule table: events are neither shuffled by their code, which
+    would pile a frequent code up in one task, nor multiplied. Rules beyond the
+    bound go the shuffled way over the distinct codes.
+    """
+    small, fits = pin(rules.select("subcode", "startWith").filter(F.length("subcode") > 0).distinct())
+    if not fits:
+        hit = resolve_codes(events, code, small).withColumn(mark, F.lit(True))
+        return events.join(hit, code, "left").withColumn(mark, F.coalesce(mark, F.lit(False)))
+    lengths = [r["n"] for r in small.filter("startWith").select(F.length("subcode").alias("n")).distinct().limit(64).collect()]
+    parts = [(F.col(code), small.filter(~F.col("startWith")))]
+    parts += [(F.left(F.col(code), F.lit(n)), small.filter(F.col("startWith") & (F.length("subcode") == n)))
+              for n in sorted(lengths)]
+    out, hits = events, []
+    for i, (probe, part) in enumerate(parts):
+        wanted = part.select(F.col("subcode").alias(f"_c{i}"), F.lit(True).alias(f"_h{i}")).distinct()
+        out = out.join(F.broadcast(wanted), probe == F.col(f"_c{i}"), "left").drop(f"_c{i}")
+        hits.append(f"_h{i}")
+    return out.withColumn(mark, F.coalesce(*hits, F.lit(False))).drop(*hits)
+
+
 def first_diagnosis(claims: DataFrame, rules: DataFrame, code: str) -> DataFrame:
     """Patients with a claim under the rules and the time of the first one."""
-    hits = claims.join(resolve_codes(claims, code, rules), code, "left_semi")
+    hits = mark_codes(claims, code, rules, "_dx").filter("_dx")
     return hits.groupBy("MRN").agg(F.min("EVT_DATE").alias("first_dx"))
 
 
 def after_diagnosis(services: DataFrame, cohort: DataFrame) -> DataFrame:
     """Services on or after the patient's first qualifying diagnosis."""
-    return services.join(cohort, "MRN").filter(F.col("EVT_DATE") >= F.col("first_dx"))
+    return join_facts(services, cohort, ["MRN"]).filter(F.col("EVT_DATE") >= F.col("first_dx"))
 
 
 def with_codes(services: DataFrame, rules: DataFrame, code: str = "CODE") -> DataFrame:
@@ -64,19 +89,14 @@ def trim_claims(claims: DataFrame, rules: DataFrame, code: str) -> DataFrame:
 
     Rule classes are ignored here, as in the measure's definition.
     """
-    whole = rules.filter(~F.col("startWith")).select(F.col("subcode").alias("_code")).distinct()
-    whole = lookup(whole)
-    stems = resolve_codes(claims, code, rules.filter("startWith").select("subcode", "startWith").distinct())
-    out = claims
-    marks = []
-    for i, column in enumerate((code, "hcclev", "ccslev")):
-        mark = f"_hit{i}"
-        right = whole.select(F.col("_code").alias(f"_c{i}"), F.lit(True).alias(mark))
-        out = out.join(right, F.col(column) == F.col(f"_c{i}"), "left").drop(f"_c{i}")
-        marks.append(F.col(mark))
-    out = out.join(stems.withColumn("_hit3", F.lit(True)), code, "left")
-    marks.append(F.col("_hit3"))
-    return out.filter(F.coalesce(*marks)).select(*claims.columns)
+    whole = lookup(rules.filter(~F.col("startWith")).select(F.col("subcode").alias("_code")).distinct())
+    out = mark_codes(claims, code, rules, "_under")
+    marks = ["_under"]
+    for i, column in enumerate(("hcclev", "ccslev")):
+        right = whole.select(F.col("_code").alias(f"_l{i}"), F.lit(True).alias(f"_level{i}"))
+        out = out.join(right, F.col(column) == F.col(f"_l{i}"), "left").drop(f"_l{i}")
+        marks.append(f"_level{i}")
+    return out.filter(F.greatest(*[F.coalesce(m, F.lit(False)) for m in marks])).select(*claims.columns)
 
 
 def in_study(df: DataFrame, start: dt.date, end: dt.date, column: str = "TEST_DATE_a") -> DataFrame:

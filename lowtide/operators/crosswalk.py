@@ -76,14 +76,8 @@ def ambiguous(xwalk: DataFrame, generation: int) -> DataFrame:
     """Rows of sources with two or more targets, with the widest fan-out seen."""
     src, dst = f"ICD{generation}_CODE", f"ICD{other(generation)}_CODE"
     wide = xwalk.groupBy(src).agg(F.countDistinct(dst).alias("targets")).filter("targets >= 2")
-    widest = wide.agg(F.max("targets").alias("max_targets"))  # one row by construction
-    return (
-        xwalk.join(wide, src)
-        .select("RELATION_TYPE", src, dst, f"ICD{generation}_DESC", f"ICD{other(generation)}_DESC", "targets",
-                F.lit(1).alias("_one"))
-        .join(F.broadcast(widest.withColumn("_one", F.lit(1))), "_one")
-        .drop("_one")
-    )
+    columns = ["RELATION_TYPE", src, dst, f"ICD{generation}_DESC", f"ICD{other(generation)}_DESC", "targets"]
+    return xwalk.join(wide, src).select(*columns, wide.agg(F.max("targets")).scalar().alias("max_targets"))
 
 
 def attach_both_levels(xwalk: DataFrame, maps: dict[tuple[str, int], DataFrame]) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lowtide.functions import dates
 from lowtide.operators.intervals import following_summary, prior_summary
+from lowtide.operators.skew import join_facts
 
 
 def claim_history(services: DataFrame, claims: DataFrame, keep_all: bool = False) -> DataFrame:
@@ -46,7 +48,7 @@ def best_admission(rows: DataFrame, admissions: DataFrame, unmatched: str = "ref
     out = prior_summary(rows, _stays(admissions), ["MRN"], {"_a": ("max", F.struct("ADM_DT_a", "DIS_DT"))})
     if unmatched == "reference":
         ever = admissions.select("MRN").distinct().withColumn("_ever", F.lit(True))
-        out = out.join(ever, "MRN", "left").filter(F.col("_a").isNotNull() | F.col("_ever").isNull()).drop("_ever")
+        out = join_facts(out, ever, ["MRN"], "left").filter(F.col("_a").isNotNull() | F.col("_ever").isNull()).drop("_ever")
     return out.select("*", "_a.*").drop("_a")
 
 
@@ -58,19 +60,17 @@ def surgery_admission(surgeries: DataFrame, admissions: DataFrame, keys: list[st
     ``ADM_DT_a``, ``DIS_DT``, one row per surgery time.
     """
     distinct = surgeries.select(*keys, "SURG_DATE").distinct()
-    instants = distinct.select("MRN", "SURG_DATE").distinct()
     stays = _stays(admissions)
     # A stay that began earlier counts from the instant it ended; one that began
     # and ended the same day must wait for the next day to count.
     same_day = F.to_date("at") == F.col("ADM_DT_a")
     stays = stays.withColumn("at", F.when(same_day, F.date_add(F.col("ADM_DT_a"), 1).cast("timestamp")).otherwise(F.col("at")))
-    out = prior_summary(instants, stays, ["MRN"], {"_a": ("max", F.struct("ADM_DT_a", "DIS_DT"))}, at="SURG_DATE")
+    out = prior_summary(distinct, stays, ["MRN"], {"_a": ("max", F.struct("ADM_DT_a", "DIS_DT"))}, at="SURG_DATE")
     on_day = admissions.select("MRN", F.to_date("ADM_DT").alias("_day")).distinct().withColumn("_blank", F.lit(True))
     ever = admissions.select("MRN").distinct().withColumn("_ever", F.lit(True))
     out = (out.withColumn("_day", F.to_date("SURG_DATE")).join(on_day, ["MRN", "_day"], "left").join(ever, "MRN", "left")
            .filter(F.col("_a").isNotNull() | F.col("_blank").isNotNull() | F.col("_ever").isNull()))
-    out = out.select("MRN", "SURG_DATE", F.col("_a.ADM_DT_a").alias("ADM_DT_a"), F.col("_a.DIS_DT").alias("DIS_DT"))
-    return distinct.join(out, ["MRN", "SURG_DATE"])
+    return out.select(*keys, "SURG_DATE", F.col("_a.ADM_DT_a").alias("ADM_DT_a"), F.col("_a.DIS_DT").alias("DIS_DT"))
 
 
 def kept_surgeries(surgeries: DataFrame, admissions: DataFrame) -> DataFrame:
@@ -84,10 +84,9 @@ def kept_surgeries(surgeries: DataFrame, admissions: DataFrame) -> DataFrame:
     keys = ["metric", "MRN"]
     rated = surgery_admission(surgeries, admissions, keys)
     stay = F.when(F.col("ADM_DT_a").isNotNull(), F.struct("ADM_DT_a", "DIS_DT"))
-    latest = rated.groupBy(*keys).agg(F.max(stay).alias("_best"))
-    return (rated.join(latest, keys)
-            .filter(stay.eqNullSafe(F.col("_best")))
-            .drop("_best"))
+    # a patient's distinct surgery times of one metric: a short group
+    latest = F.max(stay).over(W.partitionBy(*keys))
+    return rated.withColumn("_best", latest).filter(stay.eqNullSafe(F.col("_best"))).drop("_best")
 
 
 def surgeries_ahead(tests: DataFrame, surgeries: DataFrame) -> DataFrame:
@@ -114,6 +113,6 @@ def secondary_history(tests: DataFrame, secondary: DataFrame, unmatched: str = "
         "n_secondary": ("sum", F.lit(1)), "_last": ("max", F.struct(F.col("at"), F.col("CODE").alias("code")))})
     if unmatched == "reference":
         ever = secondary.select("MRN").distinct().withColumn("_ever", F.lit(True))
-        out = out.join(ever, "MRN", "left").filter((F.col("n_secondary") > 0) | F.col("_ever").isNull()).drop("_ever")
+        out = join_facts(out, ever, ["MRN"], "left").filter((F.col("n_secondary") > 0) | F.col("_ever").isNull()).drop("_ever")
     return out.select(*tests.columns, "n_secondary", F.col("_last.code").alias("rCODE"),
                       dates.day_gap(F.col("TEST_DATE"), F.col("_last.at")).alias("rgap"))

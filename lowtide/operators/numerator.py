@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from lowtide.functions import dates
 from lowtide.functions.sizing import lookup
-from lowtide.operators.cohort import resolve_codes
+from lowtide.operators.cohort import mark_codes
 from lowtide.operators.intervals import exists_within
 from lowtide.operators.normalize import add_month, first_per_key
+from lowtide.operators.skew import join_facts
 
 
 def matching_claims(claims: DataFrame, rules: DataFrame, code: str = "ICD10_subcode") -> DataFrame:
@@ -24,10 +25,9 @@ def matching_claims(claims: DataFrame, rules: DataFrame, code: str = "ICD10_subc
         wanted = rules.filter(F.col("cls") == cls).select(F.col("subcode").alias(f"_{cls}"), F.lit(True).alias(f"_in{cls}")).distinct()
         out = out.join(lookup(wanted), F.col(column) == F.col(f"_{cls}"), "left").drop(f"_{cls}")
         marks.append(F.col(f"_in{cls}"))
-    coded = resolve_codes(claims, code, rules.filter(F.col("cls") == "ICD").select("subcode", "startWith").distinct())
-    out = out.join(coded.withColumn("_inICD", F.lit(True)), code, "left")
+    out = mark_codes(out, code, rules.filter(F.col("cls") == "ICD"), "_inICD")
     marks.append(F.col("_inICD"))
-    return out.filter(F.coalesce(*marks)).select(*claims.columns)
+    return out.filter(F.greatest(*[F.coalesce(m, F.lit(False)) for m in marks])).select(*claims.columns)
 
 
 def matching_patients(claims: DataFrame, rules: DataFrame, code: str = "ICD10_subcode") -> DataFrame:
@@ -38,12 +38,12 @@ def without_red_flags(tests: DataFrame, flagged: DataFrame, lookback_days: int)
     """Drop every test of a patient who has a flagged claim within lookback of any test."""
     marked = exists_within(tests.select("MRN", "TEST_DATE").distinct(), flagged.select("MRN", F.col("EVT_DATE").alias("at")),
                            ["MRN"], F.lit(lookback_days), "_red")
-    return tests.join(marked.filter("_red").select("MRN").distinct(), "MRN", "left_anti")
+    return join_facts(tests, marked.filter("_red").select("MRN").distinct(), ["MRN"], "left_anti")
 
 
 def with_indication(tests: DataFrame, indicated: DataFrame) -> DataFrame:
     """Keep the tests of patients that match the indication list."""
-    return tests.join(indicated.select("MRN").distinct(), "MRN", "left_semi")
+    return join_facts(tests, indicated.select("MRN").distinct(), ["MRN"], "left_semi")
 
 
 def fresh_secondary(gap: Column, window_days: int, code: Column) -> Column:
@@ -65,10 +65,11 @@ def without_old_complaints(tests: DataFrame, claims: DataFrame, indications: Dat
         out = out.join(lookup(wanted), F.col(column) == F.col("_c"), "left").drop("_c")
     old = F.coalesce(*[F.col(f"_is{cls}") for cls, _ in marks], F.lit(False))
     first_new = out.filter(~old).groupBy("MRN").agg(F.min("EVT_DATE").alias("_new"))
-    recent = exists_within(tests, claims.select("MRN", F.col("EVT_DATE").alias("at")), ["MRN"], F.lit(window_days),
+    times = tests.select("MRN", "TEST_DATE").distinct()
+    recent = exists_within(times, claims.select("MRN", F.col("EVT_DATE").alias("at")), ["MRN"], F.lit(window_days),
                            "_recent", open_end=True)
     kept = recent.join(first_new, "MRN", "left").filter(F.col("_recent") | (F.col("_new") <= F.col("TEST_DATE")))
-    return kept.select(*tests.columns)
+    return tests.join(kept.select("MRN", "TEST_DATE"), ["MRN", "TEST_DATE"], "left_semi")
 
 
 def not_recently_admitted(tests: DataFrame, flag: str = "adms_flag") -> DataFrame:

@@ -22,6 +22,7 @@ from lowtide.operators.cohort import in_limits
 from lowtide.operators.history import best_admission, kept_surgeries, recently_admitted
 from lowtide.operators.intervals import exists_within, prior_summary
 from lowtide.operators.repeat import repeat_scans
+from lowtide.operators.skew import join_facts
 from lowtide.plans.rulebook import ALL_CODES, Rulebook, choose, scope_of
 
 CELL = ["mode", "metric", "MRN"]
@@ -155,7 +156,7 @@ def _candidates(hits: DataFrame, inputs: Inputs, book: Rulebook) -> DataFrame:
     (scored,) = (m for m in book.metrics if m.repeat_scan)
     scans = repeat_scans(inputs.scans.filter(_metric_limits(book, scored.name)), scored.window)
     encounters = scans.select("ENC_ID").distinct().withColumn("_repeat", F.lit(True))
-    tests = tests.join(encounters, "ENC_ID", "left")
+    tests = join_facts(tests, encounters, ["ENC_ID"], "left")
     last = scans.groupBy("MRN").agg(F.max("EVT_DATE").alias("last_repeat"))
     reduced = tests.groupBy(*keys).agg(
         F.min(F.struct("ENC_ID", "AgeAtTest")).alias("_p"),
@@ -208,7 +209,7 @@ def _history_ok(book: Rulebook) -> Column:
     return F.coalesce(claimed & second, F.lit(False))
 
 
-def _admissions(tests: DataFrame, surgery_hit: DataFrame | None, inputs: Inputs, book: Rulebook) -> DataFrame:
+def _admissions(tests: DataFrame, surgery_hit: DataFrame | None, inputs: Inputs, book: Rulebook, stage: Stage) -> DataFrame:
     """Latest prior admission and the recent-admission flag; surgery window."""
     day, ts = F.lit(None).cast("date"), F.lit(None).cast("timestamp")
     tests = tests.withColumns({"ADM_DT_a": day, "SURG_DATE": ts, "adms_flag": F.lit(False)})
@@ -225,6 +226,7 @@ def _admissions(tests: DataFrame, surgery_hit: DataFrame | None, inputs: Inputs,
     if by_surgery:
         window = book.per_metric("window")
         surgeries = kept_surgeries(surgery_hit.select("metric", "MRN", F.col("at").alias("SURG_DATE")), inputs.admissions)
+        surgeries = stage(surgeries, "surgeries")
         rows = tests.filter(F.col("metric").isin(by_surgery)).drop("ADM_DT_a", "SURG_DATE")
         rows = rows.withColumn("_until", F.col("TEST_DATE") + F.make_dt_interval(window))
         best = F.struct("SURG_DATE", "ADM_DT_a", "DIS_DT")
@@ -405,7 +407,7 @@ def evaluate(inputs: Inputs, book: Rulebook, stage: Stage = _in_line) -> DataFra
     tests = stage(tests, "candidates")
     if book.has("admission"):
         surgeries = service_hit.filter(F.col("tag") == "surgery") if service_hit is not None else None
-        tests = _admissions(tests, surgeries, inputs, book)
+        tests = _admissions(tests, surgeries, inputs, book, stage)
     else:
         tests = tests.withColumns({"ADM_DT_a": F.lit(None).cast("date"), "SURG_DATE": F.lit(None).cast("timestamp"),
                                    "adms_flag": F.lit(False)})
