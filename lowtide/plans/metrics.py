@@ -347,7 +347,7 @@ def _monthly_denominator(inputs: Inputs, facts: DataFrame, book: Rulebook) -> Da
         cohort = facts.filter(F.col("metric").isin(names) & F.col("first_dx").isNotNull()).select(*CELL, "first_dx")
         own = {k: v for k, v in book.limits.items() if k in names}
         column = F.col("metric")
-        rows = _visit_table(events, inputs).join(cohort, "MRN").filter(
+        rows = join_facts(_visit_table(events, inputs), cohort, ["MRN"]).filter(
             in_limits(F.col("AgeAtTest"), F.col("sex"), choose(column, {k: v[0] for k, v in own.items()}),
                       choose(column, {k: v[1] for k, v in own.items()}), choose(column, {k: v[2] for k, v in own.items()}))
             & (~book.is_one("after_dx") | (F.col("TEST_DATE") >= F.col("first_dx"))))

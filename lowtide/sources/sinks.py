@@ -37,3 +37,11 @@ def write_report(report: DataFrame, path: str) -> None:
 def write_sheets(sample: DataFrame, path: str) -> None:
     """One folder of comma-separated rows per metric, for the annotators."""
     sample.withColumn("sheet", F.col("metric")).write.mode("overwrite").partitionBy("sheet").csv(path, header=True)
+
+
+def stage_some(*names: str):
+    """``stage`` for the named tables only; the others stay in the plan."""
+    def pick(df: DataFrame, name: str) -> DataFrame:
+        return stage(df, name) if name in names else df
+
+    return pick
