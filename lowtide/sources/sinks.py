@@ -10,8 +10,12 @@ from lowtide.session import scratch_dir
 
 
 def write_result(result: DataFrame, path: str) -> None:
-    """The long result, one folder per mode, metric and term."""
-    result.write.mode("overwrite").partitionBy("mode", "metric", "term").parquet(path)
+    """The long result, one folder per mode, metric and term.
+
+    Rows are rebalanced on the folder columns first: a folder gets few files of
+    even size, and a cell that holds most of the rows is split.
+    """
+    result.hint("rebalance", "mode", "metric", "term").write.mode("overwrite").partitionBy("mode", "metric", "term").parquet(path)
 
 
 def read_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -36,7 +40,7 @@ def write_report(report: DataFrame, path: str) -> None:
 
 def write_sheets(sample: DataFrame, path: str) -> None:
     """One folder of comma-separated rows per metric, for the annotators."""
-    sample.withColumn("sheet", F.col("metric")).write.mode("overwrite").partitionBy("sheet").csv(path, header=True)
+    sample.withColumn("sheet", F.col("metric")).hint("rebalance", "sheet").write.mode("overwrite").partitionBy("sheet").csv(path, header=True)
 
 
 def stage_some(*names: str):
