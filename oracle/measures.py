@@ -8,7 +8,7 @@ RATE = """SELECT mode, metric, TEST_DATE_month, count(DISTINCT CASE WHEN term =
   count(DISTINCT CASE WHEN term = 'denominator' THEN MRN END) AS denominator,
   coalesce(count(DISTINCT CASE WHEN term = 'numerator' THEN MRN END) * 1.0e0
     / nullif(count(DISTINCT CASE WHEN term = 'denominator' THEN MRN END), 0), 0) AS proportion,
-  d.agemin, d.agemax, d.gendercrit
+  cast(d.agemin as bigint) AS agemin, cast(d.agemax as bigint) AS agemax, d.gendercrit
 FROM result JOIN demo d ON d.key = metric WHERE TEST_DATE_month LIKE '1998%' GROUP BY mode, metric, TEST_DATE_month, d.agemin, d.agemax, d.gendercrit"""
 
 SQL = {

@@ -71,8 +71,8 @@ SQL = {
     "rpt1_tally": grid("""SELECT mode, metric, count(*) FILTER (term = 'numerator') AS numerator,
   count(*) FILTER (term = 'denominator') AS denominator FROM result GROUP BY mode, metric"""),
     "rpt2_monthly_rate": grid(RATE.replace("TEST_DATE_month LIKE '1998%'", f"TEST_DATE_month IN ({PERIOD})")),
-    "rpt3_monthly_patients": grid(f"""SELECT mode, 'CW_' || metric AS Long_Metric, metric AS Metric, MRN, TEST_DATE_month, d.agemin, d.agemax,
-  d.gendercrit, term FROM result JOIN demo d ON d.key = metric WHERE TEST_DATE_month IN ({PERIOD})"""),
+    "rpt3_monthly_patients": grid(f"""SELECT mode, 'CW_' || metric AS Long_Metric, metric AS Metric, MRN, TEST_DATE_month, cast(d.agemin as bigint) AS agemin,
+  cast(d.agemax as bigint) AS agemax, d.gendercrit, term FROM result JOIN demo d ON d.key = metric WHERE TEST_DATE_month IN ({PERIOD})"""),
     "rpt4_stitched": grid(f"""SELECT mode, 'CW_' || metric AS Metric, ENC_ID, regexp_replace(MRN, '^0{{1,2}}', '') AS MRN, TEST_CODE, {DAY},
   TEST_DATE_month, cast(cast(CLAIM_DATE as date) as varchar) AS CLAIM_DATE, cast(ADM_DT_a as varchar) AS ADM_DT_a, AgeAtTest
   FROM result WHERE term = 'numerator'"""),
@@ -107,7 +107,7 @@ SQL = {
     "evl13_annotation_counts": with_base("""SELECT metric, count(*) FILTER (Term_assessed = 'Numer') AS Numer,
   count(*) FILTER (Term_assessed = 'Not_Numer') AS Not_Numer FROM au GROUP BY metric""", [GOLD]),
     "smp1_stratified_sample": grid(f"SELECT metric, MRN, TEST_CODE, {DAY}, TEST_DATE_month FROM drawn", [NOTNUM, LABELLED, NATIVE, DRAWN]),
-    "smp2_missed_quota": grid("""SELECT a.metric, a.label, a.needed, count(n.MRN) AS available FROM asked a
+    "smp2_missed_quota": grid("""SELECT a.metric, a.label, cast(a.needed as bigint) AS needed, count(n.MRN) AS available FROM asked a
   LEFT JOIN native n ON n.metric = a.metric AND n.label = a.label GROUP BY a.metric, a.label, a.needed HAVING count(n.MRN) < a.needed""",
                               [NOTNUM, LABELLED, NATIVE, QUOTA]),
     "smp3_annotation_period": with_base(f"SELECT metric, MRN, TEST_CODE, {DAY}, TEST_DATE_month, Term_assessed FROM notes WHERE TEST_DATE_month IN ({PERIOD})", [NOTES]),
