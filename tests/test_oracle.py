@@ -10,7 +10,14 @@ SQL = E.oracle_sql()
 
 
 def test_every_query_has_a_twin():
-    assert set(SQL) == set(E.queries())
+    import lowtide.catalog.cohorts as cohorts
+    import lowtide.catalog.crosswalks as crosswalks
+    import lowtide.catalog.measures as measures
+    import lowtide.catalog.reports as reports
+    import lowtide.catalog.tables as tables
+
+    for module in (tables, crosswalks, cohorts, measures, reports):
+        assert set(module.QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
