@@ -44,25 +44,25 @@ def _eligible(docs: DataFrame, least: int) -> DataFrame:
 def _segment(size: Column, part: int, parts: int) -> tuple[Column, Column]:
     """Start (from 1) and length of segment ``part`` (from 1) of a line of ``size``; the last ones are the longer ones."""
     short = F.lit(parts) - size % parts
-    base = F.floor(size / parts)
+    base = F.call_function("div", size, F.lit(parts))
     return (part - 1) * base + F.greatest(F.lit(part - 1) - short, F.lit(0)) + 1, base + F.when(F.lit(part) > short, 1).otherwise(0)
 
 
-def _keys(distance: int) -> Column:
-    """Array of (key, is_index) of a line; the unshifted segments of its own length are index and probe in one."""
+def _keys(distance: int, index_only: bool = False) -> Column:
+    """Array of (key, is_index) of a line, null where a window leaves it; the unshifted segments of its own length
+    are index and probe in one."""
     out, parts = [], distance + 1
-    for shorter in range(distance + 1):
+    for shorter in range(1 if index_only else parts):
         size = F.col("size") - shorter
         for part in range(1, parts + 1):
             start, length = _segment(size, part, parts)
-            for shift in range(-(part - 1), part):
+            for shift in [0] if index_only else range(-(part - 1), part):
                 if abs(shift - shorter) > parts - part:
                     continue
-                piece = F.substring(F.col("line"), (start + shift).cast("int"), length.cast("int"))
+                key = F.xxhash64(size, F.lit(part), F.substring(F.col("line"), (start + shift).cast("int"), length.cast("int")))
                 real = (start + shift >= 1) & (start + shift + length - 1 <= F.col("size"))
-                out.append(F.when(real, F.struct(F.xxhash64(size, F.lit(part), piece).alias("key"),
-                                                 F.lit(shorter == 0 and shift == 0).alias("is_index"))))
-    return F.filter(F.array(*out), lambda x: x.isNotNull())
+                out.append(F.when(real, F.struct(key.alias("key"), F.lit(shorter == 0 and shift == 0).alias("is_index"))))
+    return F.array(*out)
 
 
 def within(a: Column, b: Column, distance: int) -> Column:
@@ -73,13 +73,11 @@ def within(a: Column, b: Column, distance: int) -> Column:
     score follows the lowest diagonal and then the last row.
     """
     width, mask = 2 * distance + 1, (1 << (2 * distance + 1)) - 1
-    rows, columns = F.size(a), F.size(b)
-
     def step(state: Column, j: Column) -> Column:
         equal = F.lit(0).cast("long")
-        here = F.get(b, j - 1)
+        rows, here = F.size(state["a"]), F.get(state["b"], j - 1)
         for k in range(width):
-            equal = equal + F.when(F.get(a, j - distance + k - 1) == here, F.lit(1 << k)).otherwise(F.lit(0)).cast("long")
+            equal = equal + F.when(F.get(state["a"], j - distance + k - 1) == here, F.lit(1 << k)).otherwise(F.lit(0)).cast("long")
         vp, vn = state["vp"], state["vn"]
         start = F.transform(F.array(equal), lambda x: F.struct(
             x.bitwiseOR(vn).bitwiseOR((x.bitwiseAND(vp) + vp).bitwiseXOR(vp)).bitwiseAND(F.lit(mask)).alias("d0"), vp.alias("vp"), vn.alias("vn")))
@@ -93,25 +91,26 @@ def within(a: Column, b: Column, distance: int) -> Column:
             on = lambda v: F.call_function("shiftright", v, F.greatest(bit, F.lit(0))).bitwiseAND(F.lit(1))
             score = F.when(j <= rows - distance, 1 - F.shiftright(x["d0"], width - 1).bitwiseAND(F.lit(1))).otherwise(on(x["hp"]) - on(x["hn"]))
             return F.struct(x["hn"].bitwiseOR(F.bitwise_not(down.bitwiseOR(x["hp"]))).bitwiseAND(F.lit(mask)).alias("vp"),
-                            down.bitwiseAND(x["hp"]).alias("vn"), (state["score"] + score).cast("long").alias("score"))
+                            down.bitwiseAND(x["hp"]).alias("vn"), (state["score"] + score).cast("long").alias("score"), state["a"].alias("a"), state["b"].alias("b"))
 
         return F.transform(across, close)[0]
 
     begin = F.struct(F.lit(mask & ~((1 << distance) - 1)).cast("long").alias("vp"), F.lit(0).cast("long").alias("vn"),
-                     F.lit(distance).cast("long").alias("score"))
-    return F.aggregate(F.sequence(F.lit(1), columns), begin, step)["score"] <= distance
+                     F.lit(distance).cast("long").alias("score"), a.alias("a"), b.alias("b"))  # in the state, so they are made once
+    return F.aggregate(F.sequence(F.lit(1), F.size(b)), begin, step)["score"] <= distance
 
 
 def _near(lines: DataFrame, firsts: DataFrame, distance: int) -> DataFrame:
     """``(h1, h2)`` of the distinct lines that have an earlier line within ``distance`` edits."""
-    keyed = lines.select("h1", F.explode(_keys(distance)).alias("k")).select("h1", "k.*")
-    heads = stage(keyed.filter("is_index").groupBy("key").agg(F.min("h1").alias("head")), "segment-heads")
+    index = lines.select("h1", F.explode(_keys(distance, index_only=True)).alias("k")).filter("k is not null").select("h1", "k.key")
+    keyed = lines.select("h1", F.explode(_keys(distance)).alias("k")).filter("k is not null").select("h1", "k.key")
+    heads = stage(index.groupBy("key").agg(F.min("h1").alias("head")), "segment-heads")
     met = stage(keyed.select("key", "h1").join(heads, "key").filter("h1 <> head").select(
         F.explode(F.array("h1", "head")).alias("h1")).distinct(), "lines-met")
     some = lines.join(met, "h1", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("size").alias("size"))
     some = stage(some.join(firsts, ["h1", "h2"]).select(
         "h1", "h2", "line", "size", "first", *(_count(letters).cast("int").alias(f"c{i}") for i, letters in enumerate(LETTERS))), "lines-some")
-    keyed = some.select("*", F.explode(_keys(distance)).alias("k")).drop("line").select("*", "k.*").drop("k")
+    keyed = some.select("*", F.explode(_keys(distance)).alias("k")).filter("k is not null").drop("line").select("*", "k.*").drop("k")
     s, r = keyed.alias("s"), keyed.filter("is_index").alias("r")
     apart = sum((F.abs(F.col(f"s.c{i}") - F.col(f"r.c{i}")) for i in range(len(LETTERS))), F.lit(0))
     pairs = s.join(r, (F.col("s.key") == F.col("r.key")) & (F.col("s.first") != F.col("r.first"))

@@ -61,4 +61,27 @@ marks AS (SELECT doc_id, count(*) FILTER (is_copy) AS c, count(*) FILTER (NOT is
 SELECT doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(c, 0) AS n_copies, coalesce(n, 0) AS n_near, coalesce(dropped, '') AS dropped
 FROM lists LEFT JOIN marks USING (doc_id)"""
 
-SQL = {"op6_repetition": OP6, "op7_ngram_join": OP7, "op10_line_dedup": OP10}
+
+
+def _secrets() -> str:
+    from lowtide.llm.secret_scan import BASE, FURTHER
+
+    kinds = []
+    for order, rule in enumerate(BASE + FURTHER):
+        pattern = rule.pattern.replace("'", "''")
+        kinds.append(f"""SELECT doc_id, {order} AS rank, '{rule.kind}' AS kind, {rule.least} AS least,
+  unnest(regexp_extract_all(text, '{pattern}', 0)) AS m, unnest(regexp_extract_all(text, '{pattern}', {rule.group})) AS v,
+  unnest(string_split_regex(text, '{pattern}')[1:len(regexp_extract_all(text, '{pattern}', 0))]) AS g,
+  generate_subscripts(regexp_extract_all(text, '{pattern}', 0), 1) AS i FROM docs""")
+    listed = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) {}, '')"
+    return f"""WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({" UNION ALL ".join(kinds)}),
+placed AS (SELECT *, (sum(length(g)) OVER w + sum(length(m)) OVER w)::BIGINT AS e FROM found
+  WINDOW w AS (PARTITION BY doc_id, rank ORDER BY i ROWS UNBOUNDED PRECEDING)),
+spans AS (SELECT doc_id, rank, kind, e - length(m) AS s, e FROM placed WHERE length(v) >= least)
+SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+  count(*) FILTER (kind = 'hex') AS n_hex, sha256({listed.format(f"FILTER (rank < {len(BASE)})")}) AS base_sha256, {listed.format("")} AS spans
+FROM docs LEFT JOIN spans USING (doc_id) GROUP BY doc_id"""
+
+
+SQL = {"op6_repetition": OP6, "op7_ngram_join": OP7, "op8_secret_scan": _secrets(), "op10_line_dedup": OP10}

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lowtide.llm import line_dedup, mixing, ngram_join, repetition, sentencepiece
+from lowtide.llm import line_dedup, mixing, ngram_join, repetition, secret_scan, sentencepiece, spotsigs, url_filter
 
 PIECES = os.environ.get("LOWTIDE_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_edited(_table(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.round_trip(_table(spark, sf_dir, "documents"), PIECES)
 
@@ -33,6 +37,19 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = secret_scan.scan(_table(spark, sf_dir, "documents")).select("doc_id", "spans")
+    kinds = [r.kind for r in secret_scan.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    counts = (F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds)
+    return spans.select("doc_id", *counts, F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+                        secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(_table(spark, sf_dir, "documents"))
 
@@ -43,4 +60,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op2_sentencepiece, op4_mixing, op6_repetition, op7_ngram_join, op10_line_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (
+    op1_spotsigs, op2_sentencepiece, op4_mixing, op6_repetition, op7_ngram_join, op8_secret_scan, op9_url_filter, op10_line_dedup,
+    pipeline)}
