@@ -21,6 +21,8 @@ _PRIME_INVERSE = pow(_PRIME, -1, 1 << 64)
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+CLOSING = np.zeros(256, bool)
+CLOSING[list(b".,;:!?\"')]}")] = True
 LEADING = (np.arange(256) & 0xC0) != 0x80
 
 
@@ -92,6 +94,14 @@ class Block:
         starts, ends = self._edges(self.is_word)
         return starts, ends, self.owner(starts)
 
+    @cached_property
+    def bare_words(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and owners of all words, A-Z lower-cased, without up to three closing marks."""
+        starts, ends, owner = self.words
+        for _ in range(3):
+            ends = ends - ((ends - starts > 1) & CLOSING[self.data[ends - 1]]) if len(ends) else ends
+        return self.hashes(starts, ends, fold=True), owner
+
     @cached_property
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, ends (without the newline) and owners of the ``\\n``-split lines of texts that have bytes."""

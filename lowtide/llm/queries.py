@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lowtide.llm import line_dedup, mixing, ngram_join, repetition, secret_scan, sentencepiece, spotsigs, url_filter
+from lowtide.llm import (license_scan, line_dedup, mixing, ngram_join, repetition, secret_scan, sentencepiece, spotsigs, tool_links,
+                         url_filter)
 
 PIECES = os.environ.get("LOWTIDE_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 
@@ -24,11 +25,47 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.round_trip(_table(spark, sf_dir, "documents"), PIECES)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+#: tools of the conversations: each assistant turn asks one of them
+SCHEMAS = {
+    "search": {"required": ["query"], "properties": {"query": {"type": "string"}, "limit": {"type": "integer", "minimum": 1, "maximum": 20}}},
+    "quote": {"required": ["lines", "text"], "properties": {"lines": {"type": "integer"}, "text": {"type": "string"}}},
+    "rate": {"required": ["score"], "properties": {"score": {"type": "number", "minimum": 0, "maximum": 1}, "style": {"enum": ["short", "long"]}}},
+}
+
+
+def calls_and_results(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results of plain chats: an assistant turn calls a tool with its text, the next user turn is the result.
+
+    The assistant turn before it, two turns earlier, is the call it depends on.
+    """
+    n, text = F.length("text"), F.col("text")
+    escaped = F.to_json(F.struct(text.alias("x")), {"ignoreNullFields": "false"})
+    quoted = F.expr("substring(escaped, 6, length(escaped) - 6)")
+    turns = turns.withColumn("escaped", escaped).withColumn("quoted", quoted)
+    arguments = F.when(F.col("turn") % 3 == 0, F.concat(F.lit('{"query": '), "quoted", F.lit(', "limit": '), n % 25, F.lit("}"))).when(
+        F.col("turn") % 3 == 1, F.concat(F.lit('{ "text": '), "quoted", F.lit(', "lines": '), F.size(F.split("text", "\n")), F.lit(" }"))).otherwise(
+        F.concat(F.lit('{"style":"'), F.when(n < 500, "short").otherwise("long"), F.lit('","score":'), (n % 101) / 100, F.lit("}")))
+    key = lambda shift: F.concat(F.lit("call_"), (F.col("turn") - shift).cast("string"))
+    name = F.element_at(F.array(*map(F.lit, SCHEMAS)), (F.pmod("turn", F.lit(3)) + 1).cast("int"))
+    calls = turns.filter("role = 'assistant'").select(
+        "conv_id", key(0).alias("call_id"), "turn", name.alias("name"), arguments.alias("arguments"), F.when(F.col("turn") > 2, key(2)).alias("after"))
+    results = turns.filter("role = 'user' and turn > 0").select("conv_id", key(1).alias("call_id"), "turn", text.alias("content"))
+    return calls, results
+
+
+def op5_tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_links.link(*calls_and_results(_table(spark, sf_dir, "conversations")), SCHEMAS)
+
+
 def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.measure(_table(spark, sf_dir, "documents")).drop("covered_words", "longest_run")
 
@@ -61,5 +98,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_spotsigs, op2_sentencepiece, op4_mixing, op6_repetition, op7_ngram_join, op8_secret_scan, op9_url_filter, op10_line_dedup,
-    pipeline)}
+    op1_spotsigs, op2_sentencepiece, op3_license_scan, op4_mixing, op5_tool_links, op6_repetition, op7_ngram_join, op8_secret_scan, op9_url_filter,
+    op10_line_dedup, pipeline)}

@@ -39,9 +39,6 @@ ANCHORS = (
     "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass "
     "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont avec "
     "el los y del se las un por con no una su para es al lo como más o pero sus").split()
-_CLOSING = np.zeros(256, bool)
-_CLOSING[list(b".,;:!?\"')]}")] = True
-
 
 def _anchor_hashes() -> np.ndarray:
     words = sorted(set(ANCHORS))
@@ -51,12 +48,7 @@ def _anchor_hashes() -> np.ndarray:
 
 def signatures(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """Distinct 32-bit signatures of each text, sorted by text and value, and their owners."""
-    starts, ends, owner = block.words
-    ends = ends.copy()
-    for _ in range(3):
-        closing = (ends - starts > 1) & _CLOSING[block.data[ends - 1]] if len(ends) else np.zeros(0, bool)
-        ends = ends - closing
-    words = block.hashes(starts, ends, fold=True)
+    words, owner = block.bare_words
     anchors = _anchor_hashes()
     at = np.searchsorted(anchors, words)
     common = np.append(anchors, 0)[at] == words
