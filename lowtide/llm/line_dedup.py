@@ -9,7 +9,8 @@ near the same place (multi-match-aware windows). Segments of each length are the
 index, the substrings of each line in those windows the probes; both are hash
 keys. A key's least line is enough to find the lines that have any partner;
 only these are joined pair by pair, under their length and letter-count bounds,
-and checked with a bit-parallel edit distance on the band of 2t + 1 diagonals.
+cut to where they differ, and checked with a bit-parallel edit distance on the
+band of 2t + 1 diagonals.
 
 Null text has no lines, empty text one (short) line. Rows of equal id and text
 are one place: their lines go or stay together. Rows without an id come first.
@@ -41,28 +42,50 @@ def _eligible(docs: DataFrame, least: int) -> DataFrame:
         place.alias("place"))
 
 
-def _segment(size: Column, part: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of segment ``part`` (from 1) of a line of ``size``; the last ones are the longer ones."""
-    short = F.lit(parts) - size % parts
-    base = F.call_function("div", size, F.lit(parts))
-    return (part - 1) * base + F.greatest(F.lit(part - 1) - short, F.lit(0)) + 1, base + F.when(F.lit(part) > short, 1).otherwise(0)
+def _windows(distance: int, index_only: bool = False) -> list[tuple[int, int, int, bool]]:
+    """(shorter by, segment from 1, shift, is_index) of a line's keys; the unshifted segments of its own length are
+    index and probe in one."""
+    parts = distance + 1
+    return [(shorter, part, shift, shorter == 0 and shift == 0)
+            for shorter in range(1 if index_only else parts) for part in range(1, parts + 1)
+            for shift in ([0] if index_only else range(-(part - 1), part)) if abs(shift - shorter) <= parts - part]
 
 
-def _keys(distance: int, index_only: bool = False) -> Column:
-    """Array of (key, is_index) of a line, null where a window leaves it; the unshifted segments of its own length
-    are index and probe in one."""
-    out, parts = [], distance + 1
-    for shorter in range(1 if index_only else parts):
-        size = F.col("size") - shorter
-        for part in range(1, parts + 1):
-            start, length = _segment(size, part, parts)
-            for shift in [0] if index_only else range(-(part - 1), part):
-                if abs(shift - shorter) > parts - part:
-                    continue
-                key = F.xxhash64(size, F.lit(part), F.substring(F.col("line"), (start + shift).cast("int"), length.cast("int")))
-                real = (start + shift >= 1) & (start + shift + length - 1 <= F.col("size"))
-                out.append(F.when(real, F.struct(key.alias("key"), F.lit(shorter == 0 and shift == 0).alias("is_index"))))
-    return F.array(*out)
+def _keyed(lines: DataFrame, distance: int, index_only: bool = False) -> DataFrame:
+    """``lines`` once for each window inside the line, with ``key`` and ``is_index`` and without the line.
+
+    Segments are as even as can be, the last ones longer by one; starts count from 1.
+    """
+    parts = distance + 1
+    windows = F.array(*(F.struct(F.lit(x).alias("shorter"), F.lit(y).alias("part"), F.lit(z).alias("shift"), F.lit(w).alias("is_index"))
+                        for x, y, z, w in _windows(distance, index_only)))
+    rows = lines.withColumn("w", F.explode(windows)).withColumn("of", F.col("size") - F.col("w.shorter"))
+    short, base = F.lit(parts) - F.col("of") % parts, F.expr(f"of div {parts}")
+    start = (F.col("w.part") - 1) * base + F.greatest(F.col("w.part") - 1 - short, F.lit(0)) + 1 + F.col("w.shift")
+    length = base + F.when(F.col("w.part") > short, 1).otherwise(0)
+    rows = rows.withColumns({"start": start.cast("int"), "length": length.cast("int")})
+    rows = rows.filter((F.col("start") >= 1) & (F.col("start") + F.col("length") - 1 <= F.col("size")))
+    key = F.xxhash64("of", "w.part", F.substring(F.col("line"), F.col("start"), F.col("length")))
+    return rows.select(*(c for c in lines.columns if c != "line"), key.alias("key"), F.col("w.is_index").alias("is_index"))
+
+
+def _common(a: Column, b: Column, most: Column) -> Column:
+    """Characters that two texts have in common at the front, ``most`` at most, by halving steps."""
+    def step(done: Column, more: Column) -> Column:
+        longer = done + more
+        return F.when((longer <= most) & (F.substring(a, F.lit(1), longer) == F.substring(b, F.lit(1), longer)), longer).otherwise(done)
+
+    return F.aggregate(F.array(*(F.lit(1 << k) for k in range(24, -1, -1))), F.lit(0), step)
+
+
+def trimmed(pairs: DataFrame, distance: int) -> DataFrame:
+    """``pairs`` of texts ``rline``, ``sline`` (the first not longer) without common front and end, which edits never
+    need; at least ``distance`` characters of the first stay."""
+    pairs = pairs.withColumn("front", _common(F.col("rline"), F.col("sline"), F.length("rline") - distance))
+    cut = {c: F.substring(c, F.col("front") + 1, F.length(c)) for c in ("rline", "sline")}
+    pairs = pairs.withColumns(cut)
+    pairs = pairs.withColumn("back", _common(F.reverse("rline"), F.reverse("sline"), F.length("rline") - distance))
+    return pairs.withColumns({c: F.substring(c, F.lit(1), F.length(c) - F.col("back")) for c in ("rline", "sline")})
 
 
 def within(a: Column, b: Column, distance: int) -> Column:
@@ -102,15 +125,15 @@ def within(a: Column, b: Column, distance: int) -> Column:
 
 def _near(lines: DataFrame, firsts: DataFrame, distance: int) -> DataFrame:
     """``(h1, h2)`` of the distinct lines that have an earlier line within ``distance`` edits."""
-    index = lines.select("h1", F.explode(_keys(distance, index_only=True)).alias("k")).filter("k is not null").select("h1", "k.key")
-    keyed = lines.select("h1", F.explode(_keys(distance)).alias("k")).filter("k is not null").select("h1", "k.key")
+    keyed = _keyed(lines.select("h1", "line", "size"), distance).select("key", "h1")
+    index = _keyed(lines.select("h1", "line", "size"), distance, index_only=True)
     heads = stage(index.groupBy("key").agg(F.min("h1").alias("head")), "segment-heads")
-    met = stage(keyed.select("key", "h1").join(heads, "key").filter("h1 <> head").select(
+    met = stage(keyed.join(heads, "key").filter("h1 <> head").select(
         F.explode(F.array("h1", "head")).alias("h1")).distinct(), "lines-met")
     some = lines.join(met, "h1", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("size").alias("size"))
     some = stage(some.join(firsts, ["h1", "h2"]).select(
         "h1", "h2", "line", "size", "first", *(_count(letters).cast("int").alias(f"c{i}") for i, letters in enumerate(LETTERS))), "lines-some")
-    keyed = some.select("*", F.explode(_keys(distance)).alias("k")).filter("k is not null").drop("line").select("*", "k.*").drop("k")
+    keyed = _keyed(some, distance)
     s, r = keyed.alias("s"), keyed.filter("is_index").alias("r")
     apart = sum((F.abs(F.col(f"s.c{i}") - F.col(f"r.c{i}")) for i in range(len(LETTERS))), F.lit(0))
     pairs = s.join(r, (F.col("s.key") == F.col("r.key")) & (F.col("s.first") != F.col("r.first"))
@@ -119,8 +142,8 @@ def _near(lines: DataFrame, firsts: DataFrame, distance: int) -> DataFrame:
                          (F.col("s.first") > F.col("r.first")).alias("s_later")).distinct()
     left = some.select(F.col("h1").alias("sh1"), F.col("h2").alias("sh2"), F.col("line").alias("sline"))
     right = some.select(F.col("h1").alias("rh1"), F.col("h2").alias("rh2"), F.col("line").alias("rline"))
-    both = pairs.join(left, ["sh1", "sh2"]).join(right, ["rh1", "rh2"])
-    near = both.filter(within(F.split("rline", ""), F.split("sline", ""), distance))
+    both = stage(pairs.join(left, ["sh1", "sh2"]).join(right, ["rh1", "rh2"]), "line-pairs")
+    near = trimmed(both, distance).filter(within(F.split("rline", ""), F.split("sline", ""), distance))
     later = F.col("s_later")
     return near.select(F.when(later, F.col("sh1")).otherwise(F.col("rh1")).alias("h1"),
                        F.when(later, F.col("sh2")).otherwise(F.col("rh2")).alias("h2")).distinct()
@@ -133,11 +156,11 @@ def _count(letters: str) -> Column:
 def dropped(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST) -> DataFrame:
     """``doc_id, body, at, is_copy, is_near`` of the lines that go."""
     lines = _eligible(docs, least)
-    known = stage(lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")), "lines")
+    narrow = stage(lines.select("doc_id", "body", "at", "h1", "h2", "place"), "lines")
+    known = stage(narrow.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")), "lines-distinct")
     near = stage(_near(lines, known.select("h1", "h2", "first"), distance), "lines-near")
     marked = known.join(near.withColumn("is_near", F.lit(True)), ["h1", "h2"], "left").filter("n > 1 or is_near")
     marked = stage(marked.select("h1", "h2", "first", F.coalesce("is_near", F.lit(False)).alias("is_near")), "lines-marked")
-    narrow = lines.select("doc_id", "body", "at", "h1", "h2", "place")
     return narrow.join(marked, ["h1", "h2"]).filter("place > first or is_near").select(
         "doc_id", "body", "at", (F.col("place") > F.col("first")).alias("is_copy"), "is_near")
 
