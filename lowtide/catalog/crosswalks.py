@@ -124,7 +124,7 @@ def gem15_native_claims(spark: SparkSession, sf: str) -> DataFrame:
 def qa1_placeholder_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     code = F.col("ICD10_subcode")
     marked = C.wide_crosswalk(spark, sf).select(
-        F.concat(F.left(code, F.lit(3)), F.lit("x"), F.substring(code, 4, 64)).alias("ICD10_subcode"))
+        F.concat(F.left(code, F.lit(3)), F.lit("x"), F.substring(code, F.lit(4), F.length(code))).alias("ICD10_subcode"))
     return Q.placeholder_conflicts(C.raw_claim(spark, sf), marked)
 
 

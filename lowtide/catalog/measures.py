@@ -26,7 +26,7 @@ def shown(result: DataFrame) -> DataFrame:
 def _metric(name: str) -> Callable[[SparkSession, str], DataFrame]:
     metric = METRICS[name]
     # steps that read the candidates several times write them once
-    stage = sinks.stage_some("candidates", "surgeries") if metric.admission or metric.repeat_scan else None
+    stage = sinks.stage_some("candidates", "surgeries", "marked") if metric.admission or metric.repeat_scan else None
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
         return shown(study.run(spark, sf, (name,), ("10to10",), procedures=name == "feed", stage=stage))

@@ -71,7 +71,7 @@ def _cost_columns(rows: DataFrame) -> DataFrame:
 
 
 def cst2_service_cost(spark: SparkSession, sf: str) -> DataFrame:
-    rows = study.results(spark, sf).filter(~F.col("metric").isin(*D.DRUG_METRICS, D.FLAT_METRIC) & (F.col("mode") == "10to10"))
+    rows = study.results(spark, sf).filter(~F.col("metric").isin(*D.DRUG_METRICS, D.FLAT_METRIC))
     return _cost_columns(D.service_cost(rows, D.fee_schedule(C.fees(spark))))
 
 
@@ -147,16 +147,12 @@ def document_judgements(spark: SparkSession, sf: str) -> DataFrame:
                                               E.agreement(label, truth).alias("agreement"))
 
 
-def _both(spark: SparkSession, sf: str) -> DataFrame:
-    return _judged(spark, sf).select(*CELL, "agreement").unionByName(document_judgements(spark, sf))
-
-
 def evl6_agreement_documents(spark: SparkSession, sf: str) -> DataFrame:
     return present(E.agreement_counts(document_judgements(spark, sf), CELL))
 
 
 def evl7_two_by_two(spark: SparkSession, sf: str) -> DataFrame:
-    return present(E.two_by_two(_both(spark, sf), CELL))
+    return present(E.two_by_two(_judged(spark, sf), CELL))
 
 
 def _rates(df: DataFrame, *names: str) -> DataFrame:
@@ -164,19 +160,25 @@ def _rates(df: DataFrame, *names: str) -> DataFrame:
 
 
 def evl8_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
-    return _rates(E.sensitivity(E.confusion(_both(spark, sf), CELL)), "sensitivity", "specificity")
+    return _rates(E.sensitivity(E.confusion(_judged(spark, sf), CELL)), "sensitivity", "specificity")
 
 
 def evl9_predictive(spark: SparkSession, sf: str) -> DataFrame:
-    return _rates(E.predictive(E.confusion(_both(spark, sf), CELL)), "ppv", "npv")
+    return _rates(E.predictive(E.confusion(_judged(spark, sf), CELL)), "ppv", "npv")
 
 
 def evl10_accuracy(spark: SparkSession, sf: str) -> DataFrame:
-    return _rates(E.accuracy(E.confusion(_both(spark, sf), CELL)), "true_cases", "false_cases", "accuracy")
+    return _rates(E.accuracy(E.confusion(_judged(spark, sf), CELL)), "true_cases", "false_cases", "accuracy")
 
 
 def evl11_likelihood(spark: SparkSession, sf: str) -> DataFrame:
-    return _rates(E.likelihood(E.confusion(_both(spark, sf), CELL)), "sensitivity", "specificity", "lr_plus", "lr_minus")
+    return _rates(E.likelihood(E.confusion(_judged(spark, sf), CELL)), "sensitivity", "specificity", "lr_plus", "lr_minus")
+
+
+def evl11_accuracy_table(spark: SparkSession, sf: str) -> DataFrame:
+    table = E.accuracy_table(_judged(spark, sf), CELL)
+    rates = [c for c in table.columns if c not in (*CELL, "tp", "fp", "tn", "fn")]
+    return present(table.select(*CELL, "tp", "fp", "tn", "fn", *[F.round(c, 9).alias(c) for c in rates]))
 
 
 def evl12_uncovered_gold(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,7 +215,7 @@ def smp2_missed_quota(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def smp3_annotation_period(spark: SparkSession, sf: str) -> DataFrame:
-    return present(P.in_period(_annotations(spark, sf), PERIOD), "metric", "MRN", "TEST_CODE", "TEST_DATE_a",
+    return present(P.in_period(P.with_month(_annotations(spark, sf).drop("TEST_DATE_month")), PERIOD), "metric", "MRN", "TEST_CODE", "TEST_DATE_a",
                    "TEST_DATE_month", "Term_assessed")
 
 
@@ -243,6 +245,6 @@ QUERIES = {f.__name__: f for f in (
     rpt1_tally, rpt2_monthly_rate, rpt3_monthly_patients, rpt4_stitched, rpt5_count_table, rpt6_cost_check,
     cst1_fee_schedule, cst2_service_cost, cst3_drug_cost, cst4_flat_cost, cst5_dollar_table, evl1_not_numerator,
     evl2_unshared_rows, evl3_available, evl4_gold, evl5_joined_gold, evl6_agreement, evl6_agreement_documents,
-    evl7_two_by_two, evl8_sensitivity, evl9_predictive, evl10_accuracy, evl11_likelihood, evl12_uncovered_gold,
+    evl7_two_by_two, evl8_sensitivity, evl9_predictive, evl10_accuracy, evl11_likelihood, evl11_accuracy_table, evl12_uncovered_gold,
     evl13_annotation_counts, smp1_stratified_sample, smp2_missed_quota, smp3_annotation_period, snk1_result_table,
     snk2_report_file, snk3_sheets)}

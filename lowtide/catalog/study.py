@@ -7,7 +7,7 @@ from functools import lru_cache, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lowtide.functions.sizing import pin
+from lowtide.functions.sizing import lookup
 from lowtide.model import METRIC_NAMES, METRICS, MODES, RESULT_SCHEMA
 from lowtide.operators import crosswalk as X
 from lowtide.operators import normalize as N
@@ -77,7 +77,7 @@ def crosswalks(spark: SparkSession) -> dict[str, DataFrame]:
         "reimburse": X.unique_map(full10, 10, "downcode", maps[("hcc", 9)]),
     }
     named = [p.select(F.lit(name).alias("xname"), "ICD9_subcode", "ICD10_subcode") for name, p in pairs.items()]
-    table = pin(X.attach_both_levels(reduce(DataFrame.unionByName, named), maps))[0]
+    table = lookup(X.attach_both_levels(reduce(DataFrame.unionByName, named), maps))
     return {name: table.filter(F.col("xname") == name).drop("xname") for name in pairs}
 
 

@@ -1,31 +1,16 @@
-"""Size-checked handling of lookup tables.
-
-A lookup (rules, crosswalk, level map, fee schedule) is read up to a row bound.
-Within the bound it becomes a local relation with exact statistics and may be
-broadcast. Beyond it the table is left alone, and the join shuffles both sides
-under adaptive execution: same result, no broadcast.
-"""
+"""Lookup tables (rules, crosswalks, level maps, fee schedules)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-#: Rows of a lookup that may be held on the driver and sent to every executor.
-LOOKUP_ROWS = 200_000
 
+from lowtide.sources.sinks import stage
 
-def pin(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> tuple[DataFrame, bool]:
-    """Return (local copy, True) when ``df`` fits the bound, else (df, False)."""
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df, False
-    # A typed empty table keeps its schema; the exact row count gives Catalyst
-    # true statistics for the join choice.
-    return df.sparkSession.createDataFrame(rows, schema=df.schema), True
 
+def lookup(df: DataFrame) -> DataFrame:
+    """``df`` written once as a table.
 
-def lookup(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint only when its size was proven small."""
-    small, fits = pin(df, max_rows)
-    return F.broadcast(small) if fits else df
+    Its readers share one pass and Spark knows its size, so Spark's own
+    threshold decides about a broadcast; there is one plan for all sizes.
+    """
+    return stage(df, "lookup")

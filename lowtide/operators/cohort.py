@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lowtide.functions.sizing import lookup, pin
+from lowtide.functions.sizing import lookup
 from lowtide.operators.crosswalk import match_codes
 from lowtide.operators.skew import join_facts
 
@@ -21,10 +21,10 @@ def in_limits(age: Column, gender: Column, agemin: Column, agemax: Column, wante
 
 def within_demographics(events: DataFrame, rules: DataFrame, metric: str) -> DataFrame:
     """Events inside one metric's age and gender limits."""
-    rule = rules.filter(F.col("key") == metric).limit(1)
-    limits = rule.select("agemin", "agemax", "gendercrit").limit(1).collect()
-    if not limits:
-        raise ValueError(f"no demographic rule for {metric!r}")
+    limit = F.struct("agemin", "agemax", "gendercrit")
+    limits = rules.filter(F.col("key") == metric).agg(F.collect_list(limit)).first()[0]
+    if len(limits) != 1:
+        raise ValueError(f"{len(limits)} demographic rules for {metric!r}")
     low, high, gender = limits[0]
     return events.filter(in_limits(F.col("AgeAtTest"), F.col("GENDER"), F.lit(low), F.lit(high), F.lit(gender)))
 
@@ -46,23 +46,20 @@ def resolve_codes(events: DataFrame, code: str, rules: DataFrame) -> DataFrame:
 def mark_codes(events: DataFrame, code: str, rules: DataFrame, mark: str) -> DataFrame:
     """Add ``mark``: the event's code is under a rule, by equality or stem.
 
-    One hash join with the whole codes and one per stem length, all against the
-    size-checked rule table: events are neither shuffled by their code, which
-    would pile a frequent code up in one task, nor multiplied. Rules beyond the
-    bound go the shuffled way over the distinct codes.
+    One equi-join with the whole codes and one per stem length that occurs, all
+    against the rule table: events are not multiplied. The table is raw at the
+    join, so a frequent code is split by adaptive execution where the rules are
+    too many to be sent to all tasks.
     """
-    small, fits = pin(rules.select("subcode", "startWith").filter(F.length("subcode") > 0).distinct())
-    if not fits:
-        hit = resolve_codes(events, code, small).withColumn(mark, F.lit(True))
-        return events.join(hit, code, "left").withColumn(mark, F.coalesce(mark, F.lit(False)))
-    lengths = [r["n"] for r in small.filter("startWith").select(F.length("subcode").alias("n")).distinct().limit(64).collect()]
+    small = lookup(rules.select("subcode", "startWith").filter(F.length("subcode") > 0).distinct())
+    lengths = small.filter("startWith").agg(F.collect_set(F.length("subcode"))).first()[0]
     parts = [(F.col(code), small.filter(~F.col("startWith")))]
     parts += [(F.left(F.col(code), F.lit(n)), small.filter(F.col("startWith") & (F.length("subcode") == n)))
               for n in sorted(lengths)]
     out, hits = events, []
     for i, (probe, part) in enumerate(parts):
-        wanted = part.select(F.col("subcode").alias(f"_c{i}"), F.lit(True).alias(f"_h{i}")).distinct()
-        out = out.join(F.broadcast(wanted), probe == F.col(f"_c{i}"), "left").drop(f"_c{i}")
+        wanted = part.select(F.col("subcode").alias(f"_c{i}"), F.lit(True).alias(f"_h{i}"))
+        out = out.join(wanted, probe == F.col(f"_c{i}"), "left").drop(f"_c{i}")
         hits.append(f"_h{i}")
     return out.withColumn(mark, F.coalesce(*hits, F.lit(False))).drop(*hits)
 

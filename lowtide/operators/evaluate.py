@@ -129,6 +129,12 @@ def likelihood(table: DataFrame) -> DataFrame:
         "lr_minus": F.try_divide(1 - F.col("sensitivity"), F.col("specificity"))})
 
 
+def accuracy_table(judged_rows: DataFrame, by: list[str]) -> DataFrame:
+    """One row per group: the four counts, all rates and both likelihood ratios."""
+    rated = likelihood(predictive(accuracy(confusion(judged_rows, by))))
+    return rated.select(*by, "tp", "fp", "tn", "fn", "sensitivity", "specificity", "ppv", "npv", "accuracy", "lr_plus", "lr_minus")
+
+
 def uncovered_gold(gold: DataFrame, labelled_rows: DataFrame, modes: list[str]) -> DataFrame:
     """Annotations no result row meets, counted per mode and metric."""
     key = ["mode", "metric", "MRN", "TEST_CODE", "TEST_DATE_month"]

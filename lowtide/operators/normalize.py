@@ -106,7 +106,8 @@ def add_month(df: DataFrame, column: str) -> DataFrame:
 
 
 def with_encounter(services: DataFrame) -> DataFrame:
-    return services.filter(F.col("ENC_ID") != "")
+    """Services whose encounter is not the empty text; an unknown one stays."""
+    return services.filter(F.col("ENC_ID").isNull() | (F.col("ENC_ID") != ""))
 
 
 def prepare_claims(claims: DataFrame) -> DataFrame:

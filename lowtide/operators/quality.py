@@ -15,7 +15,7 @@ SECONDARY_METRICS = ("dexa", "narc", "vitd")
 def placeholder_conflicts(claims: DataFrame, xwalk: DataFrame, code: str = "CODE") -> DataFrame:
     """Claim codes that begin with the part of a crosswalk code before its placeholder X."""
     target = codes.upper_x(F.col("ICD10_subcode"))
-    tail = F.substring(target, 2, 64)
+    tail = F.substring(target, F.lit(2), F.length(target))
     stems = xwalk.filter(F.contains(tail, F.lit("X"))).select(
         F.concat(F.substring(target, 1, 1), F.substring_index(tail, "X", 1)).alias("stem")).distinct()
     used = claims.groupBy(code).agg(F.count(F.lit(1)).alias("n_claims"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lowtide.functions import dates
+
 SEED = 54
 
 
@@ -40,5 +42,10 @@ def missed_quota(rows: DataFrame, quota: DataFrame) -> DataFrame:
             .filter("available < needed"))
 
 
+def with_month(annotations: DataFrame) -> DataFrame:
+    """Annotations tagged with the month of their service day."""
+    return annotations.withColumn("TEST_DATE_month", dates.month_label(F.col("TEST_DATE_a")))
+
+
 def in_period(annotations: DataFrame, months: list[str]) -> DataFrame:
     return annotations.filter(F.col("TEST_DATE_month").isin(months))

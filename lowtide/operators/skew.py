@@ -3,21 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-#: Parts a key's events are spread over.
-SALTS = 16
+from lowtide.sources.sinks import stage
 
 
-def join_facts(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
+def join_facts(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join events with facts that have one row per key.
 
-    Aggregated facts come straight out of a grouping, where adaptive execution
-    cannot split a skewed partner, so the split is made here: events get a salt
-    from their own values (stable over retries) and each fact is copied once
-    per salt. A key with a third of all events then fills ``salts`` tasks.
+    Facts come straight out of a grouping, where adaptive execution cannot split
+    a skewed partner. Written as a table, they are shuffled like the events, and
+    the events of a hot key are split over as many tasks as their bytes ask for;
+    only the facts of such a partition are read more than once.
     """
-    others = [c for c in rows.columns if c not in keys] or keys
-    salt = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int")
-    copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")
+    return rows.join(stage(facts, "facts"), keys, how)

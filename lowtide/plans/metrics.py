@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lowtide.functions import dates
@@ -24,6 +23,7 @@ from lowtide.operators.intervals import exists_within, prior_summary
 from lowtide.operators.repeat import repeat_scans
 from lowtide.operators.skew import join_facts
 from lowtide.plans.rulebook import ALL_CODES, Rulebook, choose, scope_of
+from lowtide.sources.sinks import stage_some
 
 CELL = ["mode", "metric", "MRN"]
 
@@ -50,10 +50,6 @@ class Inputs:
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
-def _in_line(df: DataFrame, name: str) -> DataFrame:
-    return df
-
-
 def claim_hits(claims: DataFrame, book: Rulebook) -> DataFrame:
     """Claims under a rule: (mode, metric, tag, MRN, at, code), one broadcast join.
 
@@ -161,7 +157,7 @@ def _candidates(hits: DataFrame, inputs: Inputs, book: Rulebook) -> DataFrame:
     reduced = tests.groupBy(*keys).agg(
         F.min(F.struct("ENC_ID", "AgeAtTest")).alias("_p"),
         F.min(F.when(F.col("_repeat"), F.col("ENC_ID"))).alias("repeat_enc"))
-    return reduced.select(*keys, "_p.ENC_ID", "_p.AgeAtTest", "repeat_enc").join(last, "MRN", "left")
+    return join_facts(reduced.select(*keys, "_p.ENC_ID", "_p.AgeAtTest", "repeat_enc"), last, ["MRN"], "left")
 
 
 def _patient_facts(claim_hit: DataFrame | None, service_hit: DataFrame | None) -> DataFrame | None:
@@ -182,12 +178,12 @@ def _with_history(tests: DataFrame, firsts: DataFrame | None, facts: DataFrame |
     """Tests with the first indication, claim, new complaint and secondary code of the patient."""
     nothing = F.lit(None).cast("timestamp")
     if facts is not None:
-        tests = tests.join(facts, CELL, "left")
+        tests = join_facts(tests, facts, CELL, "left")
     else:
         tests = tests.withColumn("first_dx", nothing).withColumn("first_ref", nothing)
     if firsts is not None:
         first, new = _pick_first(book)
-        tests = tests.join(firsts, "MRN", "left").withColumn("first_any", first).withColumn("first_new", new)
+        tests = join_facts(tests, firsts, ["MRN"], "left").withColumn("first_any", first).withColumn("first_new", new)
         return tests.drop(*[c for c in firsts.columns if c != "MRN"])
     return tests.withColumn("first_any", nothing).withColumn("first_new", nothing)
 
@@ -253,7 +249,7 @@ def _after_report_start(tests: DataFrame, inputs: Inputs, book: Rulebook) -> Dat
 
 
 def _flagged(tests: DataFrame, claim_hit: DataFrame, service_hit: DataFrame | None, inputs: Inputs,
-             book: Rulebook, within: Column | None = None) -> DataFrame:
+             book: Rulebook, stage: Stage, within: Column | None = None) -> DataFrame:
     """Red-flag marks per row, spread to all rows of the patient in the cell.
 
     ``within`` limits the rows whose marks count (default: all rows).
@@ -286,11 +282,13 @@ def _flagged(tests: DataFrame, claim_hit: DataFrame, service_hit: DataFrame | No
     can_score = can_score & ~(early_admission & F.col("adms_flag"))
     if within is not None:
         can_score = can_score & within
-    patient = W.partitionBy(*CELL)
-    return (tests.withColumn("_scored", can_score)
-            .withColumn("_out", F.max(F.col("_scored") & marked).over(patient))
-            .withColumn("in_numerator", F.col("_scored") & ~F.col("_out"))
-            .drop("_red", "_claim", "_second", "_scored", "_out"))
+    # the marked patients are a set of their own, so no patient's rows must meet in one task
+    tests = stage(tests.withColumn("_scored", can_score).withColumn("_marked", F.coalesce(can_score & marked, F.lit(False)))
+                  .drop("_red", "_claim", "_second"), "marked")
+    out = tests.filter("_marked").select(*CELL).distinct().withColumn("_out", F.lit(True))
+    return (join_facts(tests, out, CELL, "left")
+            .withColumn("in_numerator", F.col("_scored") & F.col("_out").isNull())
+            .drop("_marked", "_scored", "_out"))
 
 
 def _culled(tests: DataFrame, inputs: Inputs, book: Rulebook) -> DataFrame:
@@ -383,7 +381,7 @@ def _feeding_tubes(numerator: DataFrame, denominator: DataFrame, claim_hit: Data
     return by_code.join(evidence.select(*CELL).distinct(), CELL, "left_anti").unionByName(coded)
 
 
-def evaluate(inputs: Inputs, book: Rulebook, stage: Stage = _in_line) -> DataFrame:
+def evaluate(inputs: Inputs, book: Rulebook, stage: Stage = stage_some("marked")) -> DataFrame:
     """Numerators and denominators of every cell of the rulebook, in one long result.
 
     ``stage`` may write an intermediate table and read it back, which cuts the
@@ -412,7 +410,7 @@ def evaluate(inputs: Inputs, book: Rulebook, stage: Stage = _in_line) -> DataFra
         tests = tests.withColumns({"ADM_DT_a": F.lit(None).cast("date"), "SURG_DATE": F.lit(None).cast("timestamp"),
                                    "adms_flag": F.lit(False)})
     tests = stage(_after_report_start(tests, inputs, book), "qualified")
-    tests = _flagged(tests, claim_hit, service_hit, inputs, book)
+    tests = _flagged(tests, claim_hit, service_hit, inputs, book, stage)
     tests = _culled(tests, inputs, book)
     result = stage(_service_terms(tests, book), "service_terms")
 

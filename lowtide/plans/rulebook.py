@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lowtide.functions.sizing import lookup, pin
+from lowtide.functions.sizing import lookup
 from lowtide.model import METRICS, Metric, Mode
 from lowtide.operators import crosswalk as X
 
@@ -234,9 +234,8 @@ def build(refs: References, metrics: list[str], modes: list[str]) -> Rulebook:
     wanted = tuple(METRICS[m] for m in metrics)
     how = tuple(MODES[m] for m in modes)
     names = [m.name for m in wanted]
-    limits = {r["key"]: (r["agemin"], r["agemax"], r["gendercrit"])
-              for r in refs.demographics.filter(F.col("key").isin(names)).limit(1000).collect()}
-    rules = pin(rules_of(how, refs).filter(F.col("metric").isin(names)))[0]
+    limits = limits_of(refs.demographics, names)
+    rules = lookup(rules_of(how, refs).filter(F.col("metric").isin(names)))
     flagged = _checked(rules, wanted, how)
     trims = [m.name for m in wanted if m.name in flagged and not m.needs_claim]
     tags = _claim_tags(how, rules, refs, trims)
@@ -246,8 +245,7 @@ def build(refs: References, metrics: list[str], modes: list[str]) -> Rulebook:
                        | F.col("mode").isin([m.name for m in how if m.procedures])).distinct()
 
     claim_tags = lookup(_with_limits(tags, limits))
-    lengths = tuple(sorted(r["n"] for r in claim_tags.filter("stem").select(F.length("probe").alias("n")).distinct()
-                           .limit(100).collect()))
+    lengths = tuple(sorted(claim_tags.filter("stem").agg(F.collect_set(F.length("probe"))).first()[0]))
 
     mapped = [refs.crosswalks[m.crosswalk].filter(F.col("ICD9_subcode").isNotNull())
               .select(F.col("ICD10_subcode").alias("code"), F.lit(scope_of(m)).alias("scope"),
@@ -261,6 +259,16 @@ def build(refs: References, metrics: list[str], modes: list[str]) -> Rulebook:
                     limits, flagged)
 
 
+def limits_of(demographics: DataFrame, names: list[str]) -> dict[str, tuple[int, int, str]]:
+    """Age and gender limits by metric; every metric needs exactly one rule."""
+    rule = F.struct("key", "agemin", "agemax", "gendercrit")
+    rows = demographics.filter(F.col("key").isin(names)).agg(F.collect_list(rule)).first()[0]
+    keys = [r["key"] for r in rows]
+    if wrong := sorted({n for n in names if keys.count(n) != 1}):
+        raise ValueError(f"not exactly one demographic rule for {', '.join(wrong)}")
+    return {r["key"]: (r["agemin"], r["agemax"], r["gendercrit"]) for r in rows}
+
+
 def _checked(rules: DataFrame, wanted: tuple[Metric, ...], how: tuple[Mode, ...]) -> frozenset[str]:
     """Refuse rule sets the measures do not define; names of metrics with CPT red flags."""
     native = [m.name for m in how if m.moves == "none"]
@@ -272,7 +280,7 @@ def _checked(rules: DataFrame, wanted: tuple[Metric, ...], how: tuple[Mode, ...]
         .when(red_cpt & ~F.col("metric").isin(second), "CPT red flags need a metric that reads secondary codes")
         .when(F.col("startWith") & (F.col("cls") != "ICD"), "only ICD rules may be stems"))
     found = rules.select(problem.alias("problem"), F.when(red_cpt, F.col("metric")).alias("flagged")).distinct()
-    rows = found.limit(1000).collect()
+    rows = found.agg(F.collect_set(F.struct("problem", "flagged"))).first()[0]
     problems = sorted({r["problem"] for r in rows if r["problem"]})
     if problems:
         raise ValueError("; ".join(problems))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lowtide.plans import metrics as P
 from lowtide.plans.rulebook import Rulebook
+from lowtide.sources.sinks import stage
 
 
 def attrition(inputs: P.Inputs, book: Rulebook) -> DataFrame:
@@ -16,7 +17,12 @@ def attrition(inputs: P.Inputs, book: Rulebook) -> DataFrame:
 
     Every stage is a flag on the candidate rows, so all counts come from one
     pass: rows by a conditional count, patients by a maximum per patient first.
+    Metrics read from drugs, with admissions or with repeat scans take further
+    stages that are not traced, and are refused.
     """
+    untraced = [m.name for m in book.metrics if m.source != "service" or m.admission or m.repeat_scan]
+    if untraced:
+        raise ValueError(f"no trace for {', '.join(untraced)}")
     hits = P.claim_hits(inputs.claims, book)
     services = P.service_hits(inputs.services, book, "service")
     tests = P._candidates(services, inputs, book)
@@ -27,7 +33,7 @@ def attrition(inputs: P.Inputs, book: Rulebook) -> DataFrame:
     base = staged.withColumns({"ADM_DT_a": F.lit(None).cast("date"), "SURG_DATE": F.lit(None).cast("timestamp"),
                                "adms_flag": F.lit(False)})
     base = P._after_report_start(base, inputs, book)
-    flagged = P._flagged(base, hits, services, inputs, book, within=F.col("history"))
+    flagged = P._flagged(base, hits, services, inputs, book, stage, within=F.col("history"))
     flagged = flagged.withColumn("unflagged", F.col("history") & F.col("in_numerator"))
     kept = P._culled(flagged, inputs, book).withColumn("numerator", F.col("history") & F.col("in_numerator"))
     stages = ["cohort", "history", "unflagged", "numerator"]

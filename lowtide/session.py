@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[8]", app: str = "lowtide", partitions: int | None = None) -> SparkSession:
+def build_session(master: str = "local[8]", app: str = "lowtide", partitions: int | None = None,
+                  shared_dir: str | None = None) -> SparkSession:
     """A session with the settings the plans are written for.
 
+    ``shared_dir`` is a folder that driver and executors reach, for stage tables;
+    a cluster that names one in ``spark.checkpoint.dir`` needs none here.
+
     On a cluster leave ``partitions`` unset and start with a high initial
     number: adaptive execution coalesces small shuffles and splits skewed ones.
     """
@@ -19,6 +23,8 @@ def build_session(master: str = "local[8]", app: str = "lowtide", partitions: in
         .appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # split a hot key even where the next step then needs one more shuffle
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         # no call-site capture per expression: plans here hold thousands of them
@@ -26,18 +32,36 @@ def build_session(master: str = "local[8]", app: str = "lowtide", partitions: in
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if shared_dir is not None:
+        builder = builder.config("spark.checkpoint.dir", shared_dir)
     if partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     return builder.getOrCreate()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for a stage table.
+    """A fresh folder for a stage table, below the shared folder in ``spark.checkpoint.dir``.
 
-    Uses the shared folder the cluster names in ``spark.checkpoint.dir``; only
-    where that is unset (tests, single machine) a temporary folder is made.
+    Without one, a single machine uses the warehouse folder; on a cluster that
+    is an error, because executors would write to disks nobody else reads.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        return tempfile.mkdtemp(prefix=f"lowtide-{name}-")
-    return f"{base.rstrip('/')}/lowtide-{name}-{os.urandom(8).hex()}"
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^-]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder: the master is {master}")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
+    path = f"{base.rstrip('/')}/lowtide-{name}-{os.urandom(8).hex()}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_made: dict[str, list[str]] = {}
+
+
+def remove_stages(spark: SparkSession) -> None:
+    """Delete the stage tables of this session; tables read from them are void afterwards."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)

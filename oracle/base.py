@@ -112,7 +112,7 @@ add(f"""proc_claims AS (
   WHERE EVT_DATE >= TIMESTAMP '{FROM}' AND EVT_DATE < TIMESTAMP '{D1}')""")
 add(f"""services AS (
   SELECT MRN, ENC_ID, CODE, EVT_DATE, round(AGEATCLAIM / 365.25, 1) AS age, GENDER FROM service
-  WHERE ENC_ID <> '' AND EVT_DATE >= TIMESTAMP '{FROM}' AND EVT_DATE < TIMESTAMP '{D1}')""")
+  WHERE (ENC_ID IS NULL OR ENC_ID <> '') AND EVT_DATE >= TIMESTAMP '{FROM}' AND EVT_DATE < TIMESTAMP '{D1}')""")
 add(f"""drugs AS (
   SELECT MRN, cast(NULL as varchar) AS ENC_ID,
          CASE WHEN lower(MED_NAME) = 'old widget' THEN 'd03431' ELSE m.drug END AS CODE, ENTRY_DATE AS EVT_DATE,
@@ -159,7 +159,7 @@ add(f"""gold AS (
          CASE WHEN l_linenumber = 7 THEN 'See comment' WHEN l_quantity >= 25 THEN 'Numer' ELSE 'Not_Numer' END AS Term_assessed,
          'Y' AS Gold_Standard
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN proc c ON c.i = l_partkey % 20 JOIN owner w ON w.code = c.code
-  WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1999-01-01' AND l_orderkey % 5 = 0)""")
+  WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1999-01-01')""")
 _LETTER = "chr(cast(65 + l_partkey % 26 as int))"
 add(f"""wide AS (
   SELECT *, replace(ICD9_CODE, '.', '') AS ICD9_subcode, replace(ICD10_CODE, '.', '') AS ICD10_subcode,

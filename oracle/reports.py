@@ -48,10 +48,10 @@ AGREE = "CASE WHEN label = Term_assessed THEN 'T' ELSE 'F' END || label"
 DOCS = f"""docs AS (SELECT 'documents' AS mode, lang AS metric, {AGREE} AS agreement FROM (
   SELECT d.lang, CASE WHEN d.n_chars > 500 THEN 'Numer' ELSE 'Not_Numer' END AS label,
          CASE WHEN l.quality = 1 THEN 'Numer' ELSE 'Not_Numer' END AS Term_assessed FROM documents d JOIN labels l USING (doc_id)))"""
-BOTH = f"""both_sets AS (SELECT mode, metric, {AGREE} AS agreement FROM judged UNION ALL SELECT * FROM docs)"""
+BOTH = f"""both_sets AS (SELECT mode, metric, {AGREE} AS agreement FROM judged)"""
 CONF = """conf AS (SELECT mode, metric, count(*) FILTER (agreement = 'TNumer') AS tp, count(*) FILTER (agreement = 'FNumer') AS fp,
   count(*) FILTER (agreement = 'TNot_Numer') AS tn, count(*) FILTER (agreement = 'FNot_Numer') AS fn FROM both_sets GROUP BY mode, metric)"""
-CHAIN = [NOTNUM, LABELLED, GOLD, JUDGED, DOCS, BOTH, CONF]
+CHAIN = [NOTNUM, LABELLED, GOLD, JUDGED, BOTH, CONF]
 
 
 def ratio(top: str, bottom: str) -> str:
@@ -80,7 +80,7 @@ SQL = {
     "rpt6_cost_check": grid(by_mode("count(MRN) FILTER (mode = '{0}')", "costed"), [COSTED]),
     "cst1_fee_schedule": with_base("""SELECT c.code || '-' || p_partkey AS HCPCS, p_name AS DESCRIPTION,
   cast(p_size as double) AS "FACILITY TOTAL", p_retailprice AS dollar_reimb FROM part JOIN proc c ON c.i = p_partkey % 20 WHERE p_partkey % 3 <> 0"""),
-    "cst2_service_cost": grid(COST_SHOW + " WHERE metric NOT IN ('psyc', 'narc', 'vitd') AND mode = '10to10'", [COSTED]),
+    "cst2_service_cost": grid(COST_SHOW + " WHERE metric NOT IN ('psyc', 'narc', 'vitd')", [COSTED]),
     "cst3_drug_cost": grid(COST_SHOW + " WHERE metric IN ('psyc', 'narc')", [COSTED]),
     "cst4_flat_cost": grid(COST_SHOW + " WHERE metric = 'vitd'", [COSTED]),
     "cst5_dollar_table": grid(by_mode("round(coalesce(sum(dollar_reimb) FILTER (mode = '{0}'), 0.0e0), 2)", "costed"), [COSTED]),
@@ -100,6 +100,9 @@ SQL = {
     "evl10_accuracy": grid(f"""SELECT mode, metric, tp + tn AS true_cases, fp + fn AS false_cases,
   round({ratio('tp + tn', 'tp + tn + fp + fn')}, 9) AS accuracy FROM conf""", CHAIN),
     "evl11_likelihood": grid(f"""SELECT mode, metric, round({SENS}, 9) AS sensitivity, round({SPEC}, 9) AS specificity,
+  round({SENS} / nullif(1 - {SPEC}, 0), 9) AS lr_plus, round((1 - {SENS}) / nullif({SPEC}, 0), 9) AS lr_minus FROM conf""", CHAIN),
+    "evl11_accuracy_table": grid(f"""SELECT mode, metric, tp, fp, tn, fn, round({SENS}, 9) AS sensitivity, round({SPEC}, 9) AS specificity,
+  round({ratio('tp', 'tp + fp')}, 9) AS ppv, round({ratio('tn', 'tn + fn')}, 9) AS npv, round({ratio('tp + tn', 'tp + tn + fp + fn')}, 9) AS accuracy,
   round({SENS} / nullif(1 - {SPEC}, 0), 9) AS lr_plus, round((1 - {SENS}) / nullif({SPEC}, 0), 9) AS lr_minus FROM conf""", CHAIN),
     "evl12_uncovered_gold": grid("""SELECT m.mode, a.metric, count(*) AS omitted FROM modes m, au a WHERE NOT EXISTS (
   SELECT 1 FROM labelled l WHERE l.mode = m.mode AND l.metric = a.metric AND l.MRN = a.MRN AND l.TEST_CODE = a.TEST_CODE

@@ -58,13 +58,13 @@ def test_identity_crosswalk_is_the_native_mode(spark):
     assert rows_of(shown(mapped).drop("mode")) == rows_of(shown(native).drop("mode"))
 
 
-def test_lookups_beyond_the_bound_give_the_same(spark, monkeypatch):
-    """Without any broadcast hint the joins shuffle and nothing changes."""
-    from lowtide.functions import sizing
-
-    want = rows_of(shown(study.run(spark, SF, ("card",), ("refto10_gems",))))
-    monkeypatch.setattr(sizing.lookup, "__defaults__", (0,))
-    monkeypatch.setattr(sizing.pin, "__defaults__", (0,))
-    book = rulebook.build(study.references(spark), ["card"], ["refto10_gems"])
-    got = rows_of(shown(evaluate(study.inputs(spark, SF, ("card",)), book)))
+def test_without_broadcasts_the_same(spark):
+    """Lookups too large for a broadcast change no result, in any metric."""
+    names = M.METRIC_NAMES
+    want = rows_of(shown(study.run(spark, SF, names, ("refto10_gems",))))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = rows_of(shown(study.run(spark, SF, names, ("refto10_gems",))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == want and want

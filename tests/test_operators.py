@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from lowtide import model as M
 from lowtide.functions import codes, dates
-from lowtide.functions.sizing import lookup, pin
+from lowtide.functions.sizing import lookup
 from lowtide.operators import cohort, cost, crosswalk as X, evaluate as E, history as H, intervals as I
 from lowtide.operators import normalize as N, numerator as U, quality as Q, report as R, sample as P
 from lowtide.operators.repeat import repeat_scans
+from lowtide.plans import rulebook
 from lowtide.sources import builds, readers
 from support import at, rows_of
 
@@ -59,13 +60,34 @@ def test_small_expressions(spark):
     assert tuple(row) == ("0123", "lbp", "205", None, 34, 35, "2016_4", 1.5)
 
 
-def test_lookup_bound(spark):
-    small, fits = pin(spark.range(5), 5)
-    assert fits and small.count() == 5
-    large, fits = pin(spark.range(6), 5)
-    assert not fits and large.count() == 6
-    joined = spark.range(10).join(lookup(spark.range(6), 5), "id")
-    assert joined.count() == 6
+def test_lookup_is_a_table(spark):
+    assert lookup(spark.range(6)).inputFiles()
+    assert lookup(spark.range(0)).count() == 0
+    assert spark.range(10).join(lookup(spark.range(6)), "id").count() == 6
+
+
+def test_stems_of_seventy_lengths(spark):
+    rules = spark.createDataFrame([("A" * n + "B", True) for n in range(1, 71)], "subcode string, startWith boolean")
+    claims = spark.createDataFrame([("A" * n + "Bx",) for n in range(1, 72)], "code string")
+    marked = cohort.mark_codes(claims, "code", rules, "hit")
+    assert sorted((len(r["code"]) - 2, r["hit"]) for r in marked.collect()) == [(n, n < 71) for n in range(1, 72)]
+
+
+def test_exactly_one_demographic_rule(spark):
+    row = ("card", 18, 80, "All")
+    rules = spark.createDataFrame([row, row, ("bph", 40, 80, "M")], "key string, agemin int, agemax int, gendercrit string")
+    events = spark.createDataFrame([(50.0, "M")], "AgeAtTest double, GENDER string")
+    assert cohort.within_demographics(events, rules, "bph").count() == 1
+    for metric in ("card", "lbp"):
+        with pytest.raises(ValueError):
+            cohort.within_demographics(events, rules, metric)
+        with pytest.raises(ValueError):
+            rulebook.limits_of(rules, [metric])
+
+
+def test_unknown_encounters_stay(spark):
+    rows = spark.createDataFrame([(None,), ("",), ("1",)], "ENC_ID string")
+    assert sorted(str(r[0]) for r in N.with_encounter(rows).collect()) == ["1", "None"]
 
 
 # --- sources ---------------------------------------------------------------
