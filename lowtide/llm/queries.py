@@ -78,7 +78,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = secret_scan.scan(_table(spark, sf_dir, "documents")).select("doc_id", "spans")
     kinds = [r.kind for r in secret_scan.BASE]
     base = F.filter("spans", lambda s: s["kind"].isin(kinds))
-    counts = (F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds)
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    counts = (count(k).alias(f"n_{k}") for k in kinds)
     return spans.select("doc_id", *counts, F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
                         secret_scan.listed(F.col("spans")).alias("spans"))
 
