@@ -7,10 +7,12 @@ or when a different line within ``distance`` edits has its first place earlier;
 Two lines within t edits share one of the t + 1 even segments of the shorter one,
 near the same place (multi-match-aware windows). Segments of each length are the
 index, the substrings of each line in those windows the probes; both are hash
-keys. A key's least line is enough to find the lines that have any partner;
-only these are joined pair by pair, under their length and letter-count bounds,
-cut to where they differ, and checked with a bit-parallel edit distance on the
-band of 2t + 1 diagonals.
+keys. A key's least line is enough to find the lines that have any partner.
+These meet the first line of each of their keys, and the lines still without an
+earlier partner then meet all lines of their keys, so a group of near copies of
+its first line makes no pairs among itself. Pairs are taken under their length
+and letter-count bounds, cut to where they differ, and checked with a
+bit-parallel edit distance on the band of 2t + 1 diagonals.
 
 Null text has no lines, empty text one (short) line. Rows of equal id and text
 are one place: their lines go or stay together. Rows without an id come first.
@@ -26,8 +28,8 @@ from lowtide.sources.sinks import stage
 
 DISTANCE = 2
 LEAST = 24
-#: groups of letters whose counts bound the distance from below
-LETTERS = ("aá", "eéè", "ioíö", "nrñ", "tdT", "shS", "luúü", "., 0123456789")
+#: groups of characters whose counts bound the distance from below, eight to a long
+LETTERS = (*(x + x.upper() for x in "abcdefghijklmnopqrstuvwxyz"), " ", ".,", "01234", "56789", "-_/:;", "áéíóúñüöä")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -130,18 +132,35 @@ def _near(lines: DataFrame, firsts: DataFrame, distance: int) -> DataFrame:
     heads = stage(index.groupBy("key").agg(F.min("h1").alias("head")), "segment-heads")
     met = stage(keyed.join(heads, "key").filter("h1 <> head").select(
         F.explode(F.array("h1", "head")).alias("h1")).distinct(), "lines-met")
-    some = lines.join(met, "h1", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("size").alias("size"))
+    some = lines.select("h1", "h2", "line").join(met.hint("merge"), "h1", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
     some = stage(some.join(firsts, ["h1", "h2"]).select(
-        "h1", "h2", "line", "size", "first", *(_count(letters).cast("int").alias(f"c{i}") for i, letters in enumerate(LETTERS))), "lines-some")
+        "h1", "h2", "line", F.length("line").alias("size"), "first", *_counts()), "lines-some")
+    counts = [f"c{i}" for i in range(len(_counts()))]
+    narrow = ["first", "h1", "h2", "size", *counts]
     keyed = _keyed(some, distance)
-    s, r = keyed.alias("s"), keyed.filter("is_index").alias("r")
-    apart = sum((F.abs(F.col(f"s.c{i}") - F.col(f"r.c{i}")) for i in range(len(LETTERS))), F.lit(0))
-    pairs = s.join(r, (F.col("s.key") == F.col("r.key")) & (F.col("s.first") != F.col("r.first"))
+    heads = keyed.filter("is_index").groupBy("key").agg(F.min(F.struct(*narrow)).alias("r")).select("key", "r.*")
+    near = stage(_checked(keyed, heads, some, distance, F.lit(True)), "lines-near-first")
+    some = stage(some.join(near.withColumn("done", F.lit(True)), ["h1", "h2"], "left").withColumn(
+        "open", F.col("done").isNull()).drop("done"), "lines-open")
+    keyed = _keyed(some, distance)
+    still_open = F.when(F.col("s.first") > F.col("r.first"), F.col("s.open")).otherwise(F.col("r.open"))
+    return near.unionByName(_checked(keyed, keyed.filter("is_index"), some, distance, still_open))
+
+
+def _checked(probes: DataFrame, index: DataFrame, lines: DataFrame, distance: int, wanted: Column) -> DataFrame:
+    """``(h1, h2)`` of the later lines of the pairs of ``probes`` s and ``index`` r that are within ``distance`` edits."""
+    s, r = probes.alias("s"), index.alias("r")
+    apart = F.lit(0).cast("long")
+    for i, letters in enumerate(LETTERS):
+        one, two = (F.shiftright(F.col(f"{x}.c{i // 8}"), 8 * (i % 8)).bitwiseAND(F.lit(255)) for x in "sr")
+        around = (one - two).bitwiseAND(F.lit(255))  # counts are kept modulo 256
+        apart = apart + F.least(around, 256 - around)
+    pairs = s.join(r, (F.col("s.key") == F.col("r.key")) & (F.col("s.first") != F.col("r.first")) & wanted
                    & (F.col("s.size") - F.col("r.size")).between(0, distance) & (apart <= 2 * distance))
     pairs = pairs.select(*(F.col(f"{x}.{h}").alias(f"{x}{h}") for x in "sr" for h in ("h1", "h2")),
                          (F.col("s.first") > F.col("r.first")).alias("s_later")).distinct()
-    left = some.select(F.col("h1").alias("sh1"), F.col("h2").alias("sh2"), F.col("line").alias("sline"))
-    right = some.select(F.col("h1").alias("rh1"), F.col("h2").alias("rh2"), F.col("line").alias("rline"))
+    left = lines.select(F.col("h1").alias("sh1"), F.col("h2").alias("sh2"), F.col("line").alias("sline"))
+    right = lines.select(F.col("h1").alias("rh1"), F.col("h2").alias("rh2"), F.col("line").alias("rline"))
     both = stage(pairs.join(left, ["sh1", "sh2"]).join(right, ["rh1", "rh2"]), "line-pairs")
     near = trimmed(both, distance).filter(within(F.split("rline", ""), F.split("sline", ""), distance))
     later = F.col("s_later")
@@ -149,8 +168,18 @@ def _near(lines: DataFrame, firsts: DataFrame, distance: int) -> DataFrame:
                        F.when(later, F.col("sh2")).otherwise(F.col("rh2")).alias("h2")).distinct()
 
 
-def _count(letters: str) -> Column:
-    return F.length("line") - F.length(F.translate("line", letters, ""))
+def _counts() -> list[Column]:
+    """How often each group of ``LETTERS`` stands in the line, modulo 256, packed as ``c0, c1, ...``."""
+    def count(letters: str) -> Column:
+        return (F.length("line") - F.length(F.translate("line", letters, ""))).cast("long").bitwiseAND(F.lit(255))
+
+    packed = []
+    for at in range(0, len(LETTERS), 8):
+        word = F.lit(0).cast("long")
+        for k, letters in enumerate(LETTERS[at: at + 8]):
+            word = word.bitwiseOR(F.shiftleft(count(letters), 8 * k))
+        packed.append(word.alias(f"c{at // 8}"))
+    return packed
 
 
 def dropped(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST) -> DataFrame:
