@@ -134,11 +134,10 @@ def _alone(postings: DataFrame) -> DataFrame:
         distinct = head | marks | np.append(True, sets[1:] != sets[:-1])
         group = np.cumsum(head) - 1
         lone = np.bincount(group, weights=distinct) == 1
-        found, counts = np.unique(sets[head & ~marks & lone[group]], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], ["set_id", "alone"])
+        yield pa.RecordBatch.from_arrays([pa.array(sets[head & ~marks & lone[group]])], ["set_id"])
 
-    counted = postings.repartition("token").mapInArrow(run, "set_id long, alone long")
-    return counted.groupBy("set_id").agg(F.sum("alone").alias("alone"))
+    found = postings.repartition("token").mapInArrow(run, "set_id long")
+    return found.groupBy("set_id").agg(F.count(F.lit(1)).alias("alone"))
 
 
 def _whole_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
