@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lowtide.session import scratch_dir
+from lowtide.session import remove, scratch_dir
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def write_result(result: DataFrame, path: str) -> None:
@@ -26,11 +31,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
     The lineage ends at the files, so a lost executor re-reads them instead of
-    recomputing claims and services, and several readers share one pass.
+    recomputing claims and services, and several readers share one pass. The
+    files stand for the job's shuffles, which are removed when it ends.
     """
-    path = scratch_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete stage tables that nothing reads any more; what was staged from them stays."""
+    for table in tables:
+        remove(table.sparkSession, _paths.pop(table))
 
 
 def write_report(report: DataFrame, path: str) -> None:
