@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lowtide.sources.sinks import stage
+from lowtide.sources.sinks import release, stage
 
 DISTANCE = 2
 LEAST = 24
@@ -91,7 +91,7 @@ def trimmed(pairs: DataFrame, distance: int) -> DataFrame:
 
 
 def within(a: Column, b: Column, distance: int) -> Column:
-    """Whether two character arrays, the first not longer, are within ``distance`` edits: bit vectors along the band.
+    """Whether two columns of character arrays, the first not longer, are within ``distance`` edits: bit vectors along the band.
 
     Bit k of column j stands for row ``j - distance + k`` of the first line; the
     vectors hold the vertical differences of the distance table, the running
@@ -100,9 +100,9 @@ def within(a: Column, b: Column, distance: int) -> Column:
     width, mask = 2 * distance + 1, (1 << (2 * distance + 1)) - 1
     def step(state: Column, j: Column) -> Column:
         equal = F.lit(0).cast("long")
-        rows, here = F.size(state["a"]), F.get(state["b"], j - 1)
+        rows, here = F.size(a), F.get(b, j - 1)
         for k in range(width):
-            equal = equal + F.when(F.get(state["a"], j - distance + k - 1) == here, F.lit(1 << k)).otherwise(F.lit(0)).cast("long")
+            equal = equal + F.when(F.get(a, j - distance + k - 1) == here, F.lit(1 << k)).otherwise(F.lit(0)).cast("long")
         vp, vn = state["vp"], state["vn"]
         start = F.transform(F.array(equal), lambda x: F.struct(
             x.bitwiseOR(vn).bitwiseOR((x.bitwiseAND(vp) + vp).bitwiseXOR(vp)).bitwiseAND(F.lit(mask)).alias("d0"), vp.alias("vp"), vn.alias("vn")))
@@ -116,12 +116,12 @@ def within(a: Column, b: Column, distance: int) -> Column:
             on = lambda v: F.call_function("shiftright", v, F.greatest(bit, F.lit(0))).bitwiseAND(F.lit(1))
             score = F.when(j <= rows - distance, 1 - F.shiftright(x["d0"], width - 1).bitwiseAND(F.lit(1))).otherwise(on(x["hp"]) - on(x["hn"]))
             return F.struct(x["hn"].bitwiseOR(F.bitwise_not(down.bitwiseOR(x["hp"]))).bitwiseAND(F.lit(mask)).alias("vp"),
-                            down.bitwiseAND(x["hp"]).alias("vn"), (state["score"] + score).cast("long").alias("score"), state["a"].alias("a"), state["b"].alias("b"))
+                            down.bitwiseAND(x["hp"]).alias("vn"), (state["score"] + score).cast("long").alias("score"))
 
         return F.transform(across, close)[0]
 
     begin = F.struct(F.lit(mask & ~((1 << distance) - 1)).cast("long").alias("vp"), F.lit(0).cast("long").alias("vn"),
-                     F.lit(distance).cast("long").alias("score"), a.alias("a"), b.alias("b"))  # in the state, so they are made once
+                     F.lit(distance).cast("long").alias("score"))
     return F.aggregate(F.sequence(F.lit(1), F.size(b)), begin, step)["score"] <= distance
 
 
@@ -132,19 +132,24 @@ def _near(lines: DataFrame, firsts: DataFrame, distance: int) -> DataFrame:
     heads = stage(index.groupBy("key").agg(F.min("h1").alias("head")), "segment-heads")
     met = stage(keyed.join(heads, "key").filter("h1 <> head").select(
         F.explode(F.array("h1", "head")).alias("h1")).distinct(), "lines-met")
+    release(heads)
     some = lines.select("h1", "h2", "line").join(met.hint("merge"), "h1", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
     some = stage(some.join(firsts, ["h1", "h2"]).select(
         "h1", "h2", "line", F.length("line").alias("size"), "first", *_counts()), "lines-some")
+    release(met)
     counts = [f"c{i}" for i in range(len(_counts()))]
     narrow = ["first", "h1", "h2", "size", *counts]
     keyed = _keyed(some, distance)
     heads = keyed.filter("is_index").groupBy("key").agg(F.min(F.struct(*narrow)).alias("r")).select("key", "r.*")
-    near = stage(_checked(keyed, heads, some, distance, F.lit(True)), "lines-near-first")
-    some = stage(some.join(near.withColumn("done", F.lit(True)), ["h1", "h2"], "left").withColumn(
+    near = _checked(keyed, heads, some, distance, F.lit(True))
+    unmarked, some = some, stage(some.join(near.withColumn("done", F.lit(True)), ["h1", "h2"], "left").withColumn(
         "open", F.col("done").isNull()).drop("done"), "lines-open")
+    release(unmarked)
     keyed = _keyed(some, distance)
     still_open = F.when(F.col("s.first") > F.col("r.first"), F.col("s.open")).otherwise(F.col("r.open"))
-    return near.unionByName(_checked(keyed, keyed.filter("is_index"), some, distance, still_open))
+    rest = _checked(keyed, keyed.filter("is_index"), some, distance, still_open)
+    release(some)
+    return near.unionByName(rest)
 
 
 def _checked(probes: DataFrame, index: DataFrame, lines: DataFrame, distance: int, wanted: Column) -> DataFrame:
@@ -162,10 +167,15 @@ def _checked(probes: DataFrame, index: DataFrame, lines: DataFrame, distance: in
     left = lines.select(F.col("h1").alias("sh1"), F.col("h2").alias("sh2"), F.col("line").alias("sline"))
     right = lines.select(F.col("h1").alias("rh1"), F.col("h2").alias("rh2"), F.col("line").alias("rline"))
     both = stage(pairs.join(left, ["sh1", "sh2"]).join(right, ["rh1", "rh2"]), "line-pairs")
-    near = trimmed(both, distance).filter(within(F.split("rline", ""), F.split("sline", ""), distance))
+    cut = trimmed(both, distance).withColumns({"rline": F.split("rline", ""), "sline": F.split("sline", "")})
     later = F.col("s_later")
-    return near.select(F.when(later, F.col("sh1")).otherwise(F.col("rh1")).alias("h1"),
-                       F.when(later, F.col("sh2")).otherwise(F.col("rh2")).alias("h2")).distinct()
+    near = cut.select(F.when(later, F.col("sh1")).otherwise(F.col("rh1")).alias("h1"),
+                      F.when(later, F.col("sh2")).otherwise(F.col("rh2")).alias("h2"),
+                      within(F.col("rline"), F.col("sline"), distance).alias("near"))
+    # filtered after the grouping: before it, the filter would take in the cuts and make them anew for each use
+    found = stage(near.groupBy("h1", "h2").agg(F.max("near").alias("near")).filter("near").select("h1", "h2"), "lines-near")
+    release(both)
+    return found
 
 
 def _counts() -> list[Column]:
@@ -187,9 +197,10 @@ def dropped(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST) -> Da
     lines = _eligible(docs, least)
     narrow = stage(lines.select("doc_id", "body", "at", "h1", "h2", "place"), "lines")
     known = stage(narrow.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")), "lines-distinct")
-    near = stage(_near(lines, known.select("h1", "h2", "first"), distance), "lines-near")
+    near = _near(lines, known.select("h1", "h2", "first"), distance)
     marked = known.join(near.withColumn("is_near", F.lit(True)), ["h1", "h2"], "left").filter("n > 1 or is_near")
     marked = stage(marked.select("h1", "h2", "first", F.coalesce("is_near", F.lit(False)).alias("is_near")), "lines-marked")
+    release(known)
     return narrow.join(marked, ["h1", "h2"]).filter("place > first or is_near").select(
         "doc_id", "body", "at", (F.col("place") > F.col("first")).alias("is_copy"), "is_near")
 

@@ -13,7 +13,7 @@ that links reach.
    mark, so a passage that stands everywhere gives few rows a task.
 3. The rest, with whole sets: shingles in rising frequency, the first
    ``n - ceil(percent n) + 1`` of a set are its prefix, and linked sets have a
-   prefix shingle in common. A star of edges for each prefix shingle and its
+   prefix shingle in common. Shingles of one set only come first and are only counted. A star of edges for each prefix shingle and its
    connected components give groups that no link leaves.
 4. Inside groups, signature trees: nodes hold OR-ed shingle bitmaps and size
    ranges, the dual traversal drops node pairs whose largest possible overlap is
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from lowtide.llm.arrays import Block, blocks, mix
 from lowtide.llm.components import components
-from lowtide.sources.sinks import stage
+from lowtide.sources.sinks import release, stage
 
 SHINGLE = 5
 PERCENT = 75
@@ -160,13 +160,19 @@ def _whole_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 def _groups(sets: DataFrame, percent: int) -> DataFrame:
     """``(node, root)`` of classes that share a prefix shingle, directly or in a chain."""
     tokens = sets.select("set_id", "n", F.explode("tokens").alias("token"))
-    shared = stage(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "shingle-counts")
-    ranked = tokens.join(shared, "token").withColumn(
-        "place", F.row_number().over(Window.partitionBy("set_id").orderBy("df", "token")))
-    prefix = stage(ranked.filter((F.col("place") <= F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1) & (F.col("df") > 1))
+    counts = stage(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "shingle-counts")
+    common = stage(tokens.join(counts, "token"), "shingles-common")
+    release(counts)
+    of_set = Window.partitionBy("set_id")
+    ranked = common.withColumns({"place": F.row_number().over(of_set.orderBy("df", "token")),
+                                 "common": F.count(F.lit(1)).over(of_set)})  # the n - common others stand before them
+    prefix = stage(ranked.filter(F.col("place") <= F.col("common") - F.expr(f"({percent} * n + 99) div 100") + 1)
                    .select("token", "set_id"), "prefix")
+    release(common)
     least = stage(prefix.groupBy("token").agg(F.min("set_id").alias("b")), "prefix-least")
-    return components(prefix.join(least, "token").select(F.col("set_id").alias("a"), "b"), "groups")
+    groups = components(prefix.join(least, "token").select(F.col("set_id").alias("a"), "b"), "groups")
+    release(prefix, least)
+    return groups
 
 
 class Tree:
