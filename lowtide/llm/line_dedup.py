@@ -220,7 +220,7 @@ def report(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST) -> Dat
 
 def drop_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST) -> DataFrame:
     """``docs`` with the remaining lines as text (``n_chars`` follows); a row all of whose words went is removed."""
-    gone = dropped(docs, distance, least).groupBy("doc_id", "body").agg(F.collect_set("at").alias("all")).alias("g")
+    g = dropped(docs, distance, least).groupBy("doc_id", "body").agg(F.collect_set("at").alias("all")).alias("g")
     d = docs.alias("d")
     text = F.col("d.text")
     left = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(F.col("g.all"), i)), "\n")
