@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 _WORDS = rf"""docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -84,4 +86,46 @@ SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (k
 FROM docs LEFT JOIN spans USING (doc_id) GROUP BY doc_id"""
 
 
-SQL = {"op6_repetition": OP6, "op7_ngram_join": OP7, "op8_secret_scan": _secrets(), "op10_line_dedup": OP10}
+OP11 = f"""WITH docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+  regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+judged AS (SELECT doc_id, part, len(ws) < 50 AS A, 100 * len(list_distinct(ws)) < 65 * len(ws) AS B,
+  100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS C, regexp_matches(text, '[#$%&*|]') AS D,
+  coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS E FROM docs),
+marks AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+failed AS (SELECT part, concat(if(A, 'A', ''), if(B, 'B', ''), if(C, 'C', ''), if(D, 'D', ''), if(E, 'E', '')) AS f,
+  count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM judged LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+orders AS (SELECT unnest([{", ".join(repr("".join(p)) for p in permutations("ABCDE"))}]) AS filter_order),
+steps AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders),
+parts AS (SELECT DISTINCT part FROM failed),
+hits AS (SELECT part, filter_order, step, n, good, toxic, length(f) AS c, contains(f, filter_order[step]) AS own,
+  step > 1 AND f <> '' AND regexp_matches(f, '[' || filter_order[1:step - 1] || '-]') AS gone FROM failed, steps),
+totals AS (SELECT part, filter_order, step, sum(n) FILTER (NOT own AND NOT gone) AS kept, sum(n) FILTER (own AND NOT gone) AS removed,
+  sum(n) FILTER (own AND gone) AS redundant, sum(n) FILTER (own AND c = 1) AS unique_fails,
+  sum(good) FILTER (own AND NOT gone) AS good_lost, sum(toxic) FILTER (own AND NOT gone) AS toxic_lost FROM hits GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, {", ".join(f"coalesce({c}, 0)::BIGINT AS {c}" for c in
+  ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))},
+  (sum(coalesce(removed, 0)) OVER (PARTITION BY part, filter_order[step]))::BIGINT AS shapley FROM totals"""
+
+
+def _clusters(k: int = 8, rounds: int = 10) -> str:
+    near = """SELECT row, arg_min({{c: c, d: d}}, (d, c)) AS b FROM (SELECT q.row, s.c,
+  list_sum(list_transform(range(1, 65), lambda j: (q.v[j] - s.v[j]) * (q.v[j] - s.v[j])))::BIGINT AS d FROM q, c{0} s) GROUP BY row"""
+    parts = []
+    for i in range(rounds):
+        parts.append(f"""n{i} AS MATERIALIZED ({near.format(i)}),
+m{i} AS MATERIALIZED (SELECT c, list(m ORDER BY j) AS v FROM (SELECT b.c AS c, j, sum(v[j])::BIGINT AS s, count(*) AS n,
+  ((s - ((s % n) + n) % n) // n)::BIGINT AS m FROM n{i} JOIN q USING (row), range(1, 65) r(j) GROUP BY ALL) GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m.v, o.v) AS v FROM c{i} o LEFT JOIN m{i} m USING (c))""")
+    return f"""WITH good AS (SELECT vec_id, embedding FROM embeddings WHERE len(embedding) = 64
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM good),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, v FROM q ORDER BY c LIMIT {k}),
+{", ".join(parts)}, n AS MATERIALIZED ({near.format(rounds)})
+SELECT vec_id, b.c::INTEGER AS cluster, b.d AS distance, (sum(b.d) OVER (PARTITION BY b.c))::BIGINT AS cluster_inertia,
+  (sum(b.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(s.v, ',')) AS centroid_sha256
+FROM n JOIN q USING (row) JOIN c{rounds} s ON s.c = b.c"""
+
+
+SQL = {"op6_repetition": OP6, "op7_ngram_join": OP7, "op8_secret_scan": _secrets(), "op10_line_dedup": OP10, "op11_filter_audit": OP11,
+       "op13_bit_kmeans": _clusters()}
