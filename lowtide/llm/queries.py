@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lowtide.llm import (bit_kmeans, filter_audit, license_scan, line_dedup, mixing, ngram_join, repetition, secret_scan, sentencepiece,
-                         spotsigs, tool_links, url_filter)
+                         spotsigs, tool_links, toxicity, url_filter)
 
 PIECES = os.environ.get("LOWTIDE_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 
@@ -96,6 +96,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op13_bit_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_kmeans.cluster(_table(spark, sf_dir, "embeddings"))
 
@@ -108,4 +112,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_spotsigs, op2_sentencepiece, op3_license_scan, op4_mixing, op5_tool_links, op6_repetition, op7_ngram_join, op8_secret_scan, op9_url_filter,
-    op10_line_dedup, op11_filter_audit, op13_bit_kmeans, pipeline)}
+    op10_line_dedup, op11_filter_audit, op12_toxicity, op13_bit_kmeans, pipeline)}
