@@ -201,7 +201,8 @@ def win3_feeding_tubes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trc1_attrition(spark: SparkSession, sf: str) -> DataFrame:
-    return present(trace.attrition(study.inputs(spark, sf, ("lbp",)), study.book(spark, ("lbp",), ("10to10",))))
+    """Steps of all metrics under all modes."""
+    return present(trace.attrition(study.inputs(spark, sf), study.full_book(spark)))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lowtide.functions import dates
 from lowtide.operators.intervals import following_summary, prior_summary
-from lowtide.operators.skew import join_facts
+from lowtide.operators.skew import deal, join_facts
+from lowtide.sources.sinks import stage
 
 
 def claim_history(services: DataFrame, claims: DataFrame, keep_all: bool = False) -> DataFrame:
@@ -66,10 +66,12 @@ def surgery_admission(surgeries: DataFrame, admissions: DataFrame, keys: list[st
     same_day = F.to_date("at") == F.col("ADM_DT_a")
     stays = stays.withColumn("at", F.when(same_day, F.date_add(F.col("ADM_DT_a"), 1).cast("timestamp")).otherwise(F.col("at")))
     out = prior_summary(distinct, stays, ["MRN"], {"_a": ("max", F.struct("ADM_DT_a", "DIS_DT"))}, at="SURG_DATE")
+    by = deal(distinct, ["MRN"])
     on_day = admissions.select("MRN", F.to_date("ADM_DT").alias("_day")).distinct().withColumn("_blank", F.lit(True))
     ever = admissions.select("MRN").distinct().withColumn("_ever", F.lit(True))
-    out = (out.withColumn("_day", F.to_date("SURG_DATE")).join(on_day, ["MRN", "_day"], "left").join(ever, "MRN", "left")
-           .filter(F.col("_a").isNotNull() | F.col("_blank").isNotNull() | F.col("_ever").isNull()))
+    out = join_facts(out.withColumn("_day", F.to_date("SURG_DATE")), on_day, ["MRN", "_day"], "left", by)
+    out = join_facts(out, ever, ["MRN"], "left", by).filter(
+        F.col("_a").isNotNull() | F.col("_blank").isNotNull() | F.col("_ever").isNull())
     return out.select(*keys, "SURG_DATE", F.col("_a.ADM_DT_a").alias("ADM_DT_a"), F.col("_a.DIS_DT").alias("DIS_DT"))
 
 
@@ -82,11 +84,10 @@ def kept_surgeries(surgeries: DataFrame, admissions: DataFrame) -> DataFrame:
     can be found per patient, without pairing tests and surgeries.
     """
     keys = ["metric", "MRN"]
-    rated = surgery_admission(surgeries, admissions, keys)
+    rated = stage(surgery_admission(surgeries, admissions, keys), "rated")
     stay = F.when(F.col("ADM_DT_a").isNotNull(), F.struct("ADM_DT_a", "DIS_DT"))
-    # a patient's distinct surgery times of one metric: a short group
-    latest = F.max(stay).over(W.partitionBy(*keys))
-    return rated.withColumn("_best", latest).filter(stay.eqNullSafe(F.col("_best"))).drop("_best")
+    latest = rated.groupBy(*keys).agg(F.max(stay).alias("_best"))
+    return join_facts(rated, latest, keys).filter(stay.eqNullSafe(F.col("_best"))).drop("_best")
 
 
 def surgeries_ahead(tests: DataFrame, surgeries: DataFrame) -> DataFrame:

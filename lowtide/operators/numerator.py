@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lowtide.functions import dates
+from lowtide.functions.bitmaps import filtered, key_set
 from lowtide.functions.sizing import lookup
 from lowtide.operators.cohort import mark_codes
 from lowtide.operators.intervals import exists_within
 from lowtide.operators.normalize import add_month, first_per_key
-from lowtide.operators.skew import join_facts
+from lowtide.operators.skew import deal, join_facts
 
 
 def matching_claims(claims: DataFrame, rules: DataFrame, code: str = "ICD10_subcode") -> DataFrame:
@@ -36,9 +37,10 @@ def matching_patients(claims: DataFrame, rules: DataFrame, code: str = "ICD10_su
 
 def without_red_flags(tests: DataFrame, flagged: DataFrame, lookback_days: int) -> DataFrame:
     """Drop every test of a patient who has a flagged claim within lookback of any test."""
+    by = deal(tests, ["MRN"])
     marked = exists_within(tests.select("MRN", "TEST_DATE").distinct(), flagged.select("MRN", F.col("EVT_DATE").alias("at")),
-                           ["MRN"], F.lit(lookback_days), "_red")
-    return join_facts(tests, marked.filter("_red").select("MRN").distinct(), ["MRN"], "left_anti")
+                           ["MRN"], F.lit(lookback_days), "_red", by=by)
+    return join_facts(tests, marked.filter("_red").select("MRN").distinct(), ["MRN"], "left_anti", by)
 
 
 def with_indication(tests: DataFrame, indicated: DataFrame) -> DataFrame:
@@ -59,16 +61,17 @@ def without_old_complaints(tests: DataFrame, claims: DataFrame, indications: Dat
     for cls, column in (("ICD", code), ("HCC", "hcclev"), ("CCS", "ccslev")):
         if column in claims.columns:
             marks.append((cls, column))
-    out = claims
+    out = claims = filtered(claims, "MRN", key_set(tests, "MRN"))
     for cls, column in marks:
         wanted = indications.filter(F.col("cls") == cls).select(F.col("subcode").alias("_c"), F.lit(True).alias(f"_is{cls}")).distinct()
         out = out.join(lookup(wanted), F.col(column) == F.col("_c"), "left").drop("_c")
     old = F.coalesce(*[F.col(f"_is{cls}") for cls, _ in marks], F.lit(False))
     first_new = out.filter(~old).groupBy("MRN").agg(F.min("EVT_DATE").alias("_new"))
+    by = deal(tests, ["MRN"])
     times = tests.select("MRN", "TEST_DATE").distinct()
     recent = exists_within(times, claims.select("MRN", F.col("EVT_DATE").alias("at")), ["MRN"], F.lit(window_days),
-                           "_recent", open_end=True)
-    kept = recent.join(first_new, "MRN", "left").filter(F.col("_recent") | (F.col("_new") <= F.col("TEST_DATE")))
+                           "_recent", open_end=True, by=by)
+    kept = join_facts(recent, first_new, ["MRN"], "left", by).filter(F.col("_recent") | (F.col("_new") <= F.col("TEST_DATE")))
     return tests.join(kept.select("MRN", "TEST_DATE"), ["MRN", "TEST_DATE"], "left_semi")
 
 

@@ -8,6 +8,7 @@ a metric skip the steps it does not take.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -16,12 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lowtide.functions import dates
+from lowtide.functions.bitmaps import filtered, key_set
 from lowtide.model import RESULT_COLUMNS, Metric, Study
 from lowtide.operators.cohort import in_limits
 from lowtide.operators.history import best_admission, kept_surgeries, recently_admitted
 from lowtide.operators.intervals import exists_within, prior_summary
 from lowtide.operators.repeat import repeat_scans
-from lowtide.operators.skew import join_facts
+from lowtide.operators.skew import Deal, deal, join_facts
 from lowtide.plans.rulebook import ALL_CODES, Rulebook, choose, scope_of
 from lowtide.sources.sinks import stage_some
 
@@ -48,6 +50,8 @@ class Inputs:
 
 
 Stage = Callable[[DataFrame, str], DataFrame]
+#: (name of the step, its rows, which of them passed it) -> the rows to go on with
+Seen = Callable[[str, DataFrame, Column], DataFrame]
 
 
 def claim_hits(claims: DataFrame, book: Rulebook) -> DataFrame:
@@ -137,13 +141,12 @@ def claim_times(claims: DataFrame, book: Rulebook, metrics: list[Metric]) -> Dat
     return _coded_claims(claims, book).select("MRN", F.col("EVT_DATE").alias("at"), F.inline(cells))
 
 
-def _candidates(hits: DataFrame, inputs: Inputs, book: Rulebook) -> DataFrame:
+def _candidates(hits: DataFrame, inputs: Inputs, book: Rulebook, by: Deal) -> DataFrame:
     """Tests of all cells, one row per (cell, code, time): repeats carry no information."""
-    tests = hits.filter(F.col("tag") == "test")
     start = F.lit(inputs.study.start).cast("timestamp")
     repeat = book.is_one("repeat_scan")
     # earlier scans only set the report start; every other metric reads the study window
-    tests = tests.filter((F.col("at") >= start) | repeat)
+    tests = hits.filter((F.col("at") >= start) | repeat)
     keys = [*CELL, "TEST_CODE", "TEST_DATE"]
     tests = tests.withColumnRenamed("at", "TEST_DATE")
     if not book.has("repeat_scan"):
@@ -157,7 +160,7 @@ def _candidates(hits: DataFrame, inputs: Inputs, book: Rulebook) -> DataFrame:
     reduced = tests.groupBy(*keys).agg(
         F.min(F.struct("ENC_ID", "AgeAtTest")).alias("_p"),
         F.min(F.when(F.col("_repeat"), F.col("ENC_ID"))).alias("repeat_enc"))
-    return join_facts(reduced.select(*keys, "_p.ENC_ID", "_p.AgeAtTest", "repeat_enc"), last, ["MRN"], "left")
+    return join_facts(reduced.select(*keys, "_p.ENC_ID", "_p.AgeAtTest", "repeat_enc"), last, ["MRN"], "left", by)
 
 
 def _patient_facts(claim_hit: DataFrame | None, service_hit: DataFrame | None) -> DataFrame | None:
@@ -174,16 +177,16 @@ def _patient_facts(claim_hit: DataFrame | None, service_hit: DataFrame | None) -
         F.min(F.when(F.col("kind") == "ref", F.col("at"))).alias("first_ref"))
 
 
-def _with_history(tests: DataFrame, firsts: DataFrame | None, facts: DataFrame | None, book: Rulebook) -> DataFrame:
+def _with_history(tests: DataFrame, firsts: DataFrame | None, facts: DataFrame | None, book: Rulebook, by: Deal) -> DataFrame:
     """Tests with the first indication, claim, new complaint and secondary code of the patient."""
     nothing = F.lit(None).cast("timestamp")
     if facts is not None:
-        tests = join_facts(tests, facts, CELL, "left")
+        tests = join_facts(tests, facts, CELL, "left", by)
     else:
         tests = tests.withColumn("first_dx", nothing).withColumn("first_ref", nothing)
     if firsts is not None:
         first, new = _pick_first(book)
-        tests = join_facts(tests, firsts, ["MRN"], "left").withColumn("first_any", first).withColumn("first_new", new)
+        tests = join_facts(tests, firsts, ["MRN"], "left", by).withColumn("first_any", first).withColumn("first_new", new)
         return tests.drop(*[c for c in firsts.columns if c != "MRN"])
     return tests.withColumn("first_any", nothing).withColumn("first_new", nothing)
 
@@ -248,15 +251,29 @@ def _after_report_start(tests: DataFrame, inputs: Inputs, book: Rulebook) -> Dat
     ).drop("last_repeat", "report_start")
 
 
-def _flagged(tests: DataFrame, claim_hit: DataFrame, service_hit: DataFrame | None, inputs: Inputs,
-             book: Rulebook, stage: Stage, within: Column | None = None) -> DataFrame:
-    """Red-flag marks per row, spread to all rows of the patient in the cell.
+def _not_just_admitted(book: Rulebook) -> Column:
+    """No admission shortly before the test, where the test is the index."""
+    by_test = F.col("metric").isin([m.name for m in book.metrics if m.admission == "test"])
+    return ~(by_test & F.col("adms_flag"))
 
-    ``within`` limits the rows whose marks count (default: all rows).
-    """
+
+def _is_scored(book: Rulebook) -> Column:
+    """The encounter belongs to a repeat scan, where those are counted."""
+    return ~book.is_one("repeat_scan") | F.col("is_repeat")
+
+
+def _is_numerator(book: Rulebook) -> Column:
+    """Unflagged and not culled, without an admission shortly before the surgery."""
+    by_surgery = F.col("metric").isin([m.name for m in book.metrics if m.admission == "surgery"])
+    return F.col("in_numerator") & ~(by_surgery & F.col("adms_flag"))
+
+
+def _flagged(tests: DataFrame, claim_hit: DataFrame, service_hit: DataFrame | None, inputs: Inputs,
+             book: Rulebook, stage: Stage, by: Deal) -> DataFrame:
+    """Red-flag marks per row, spread to all rows of the patient in the cell."""
     lookback = book.per_metric("lookback")
     red = claim_hit.filter(F.col("tag") == "red").select(*CELL, "at")
-    tests = exists_within(tests, red, CELL, lookback, "_red")
+    tests = exists_within(tests, red, CELL, lookback, "_red", by=by)
     flagged = [m for m in book.metrics if m.name in book.cpt_flagged and m.secondary_window]
     marked = F.col("_red")
     if flagged:
@@ -273,25 +290,21 @@ def _flagged(tests: DataFrame, claim_hit: DataFrame, service_hit: DataFrame | No
             sources.append(claim_times(inputs.claims, book, whole).select(*cell, "at"))
         if trimmed:
             sources.append(claim_hit.filter(F.col("tag") == "trim").select(F.col("mode").alias("scope"), "metric", "MRN", "at"))
-        tests = exists_within(tests, reduce(DataFrame.unionByName, sources), cell, lookback, "_claim").drop("scope")
+        tests = exists_within(tests, reduce(DataFrame.unionByName, sources), cell, lookback, "_claim", by=by).drop("scope")
         second = service_hit.filter(F.col("tag") == "refred").select(*CELL, "at")
-        tests = exists_within(tests, second, CELL, F.coalesce(book.per_metric("secondary_window"), F.lit(1)), "_second")
+        tests = exists_within(tests, second, CELL, F.coalesce(book.per_metric("secondary_window"), F.lit(1)), "_second", by=by)
         marked = marked | (F.col("_claim") & F.col("_second"))
-    can_score = ~book.is_one("repeat_scan") | F.col("is_repeat")
-    early_admission = F.col("metric").isin([m.name for m in book.metrics if m.admission == "test"])
-    can_score = can_score & ~(early_admission & F.col("adms_flag"))
-    if within is not None:
-        can_score = can_score & within
+    can_score = _not_just_admitted(book) & _is_scored(book)
     # the marked patients are a set of their own, so no patient's rows must meet in one task
     tests = stage(tests.withColumn("_scored", can_score).withColumn("_marked", F.coalesce(can_score & marked, F.lit(False)))
                   .drop("_red", "_claim", "_second"), "marked")
     out = tests.filter("_marked").select(*CELL).distinct().withColumn("_out", F.lit(True))
-    return (join_facts(tests, out, CELL, "left")
+    return (join_facts(tests, out, CELL, "left", by)
             .withColumn("in_numerator", F.col("_scored") & F.col("_out").isNull())
             .drop("_marked", "_scored", "_out"))
 
 
-def _culled(tests: DataFrame, inputs: Inputs, book: Rulebook) -> DataFrame:
+def _culled(tests: DataFrame, inputs: Inputs, book: Rulebook, by: Deal) -> DataFrame:
     """Old complaints leave the numerator: keep a test with any claim younger than
     the window, or with an earlier claim that is not an indication."""
     metrics = [m for m in book.metrics if m.cull_old_complaint]
@@ -300,7 +313,7 @@ def _culled(tests: DataFrame, inputs: Inputs, book: Rulebook) -> DataFrame:
     scoped = tests.withColumn("scope", choose(F.col("mode"), {m.name: scope_of(m) for m in book.modes}))
     recent = claim_times(inputs.claims, book, metrics)
     window = F.coalesce(book.per_metric("window"), F.lit(1))
-    scoped = exists_within(scoped, recent, ["scope", "metric", "MRN"], window, "_recent", open_end=True).drop("scope")
+    scoped = exists_within(scoped, recent, ["scope", "metric", "MRN"], window, "_recent", open_end=True, by=by).drop("scope")
     keep = F.col("_recent") | F.coalesce(F.col("first_new") <= F.col("TEST_DATE"), F.lit(False))
     return scoped.withColumn("in_numerator", F.col("in_numerator") & (~book.is_one("cull_old_complaint") | keep)).drop("_recent")
 
@@ -310,9 +323,7 @@ _PICK = ["TEST_DATE", "ENC_ID", "AgeAtTest", "CLAIM_DATE", "ADM_DT_a", "SURG_DAT
 
 def _service_terms(tests: DataFrame, book: Rulebook) -> DataFrame:
     """Numerator rows of all metrics and denominator rows of the service-level ones."""
-    last = F.col("metric").isin([m.name for m in book.metrics if m.admission == "surgery"]) & F.col("adms_flag")
-    numerator = F.col("in_numerator") & ~last
-    terms = F.array_compact(F.array(F.when(numerator, "numerator"), F.when(~book.is_one("monthly"), "denominator")))
+    terms = F.array_compact(F.array(F.when(_is_numerator(book), "numerator"), F.when(~book.is_one("monthly"), "denominator")))
     rows = tests.withColumn("term", F.explode(terms)).withColumns({
         "TEST_DATE_a": F.to_date("TEST_DATE"),
         "CLAIM_DATE": F.col("first_any"),
@@ -381,11 +392,21 @@ def _feeding_tubes(numerator: DataFrame, denominator: DataFrame, claim_hit: Data
     return by_code.join(evidence.select(*CELL).distinct(), CELL, "left_anti").unionByName(coded)
 
 
-def evaluate(inputs: Inputs, book: Rulebook, stage: Stage = stage_some("marked")) -> DataFrame:
+def _go_on(step: str, rows: DataFrame, passed: Column) -> DataFrame:
+    return rows
+
+
+#: Steps a test passes on its way into the numerator, in this order; see ``evaluate``.
+STEPS = ("1 tests", "2 cohort", "3 history", "4 admission", "5 scored", "6 unflagged", "7 numerator")
+
+
+def evaluate(inputs: Inputs, book: Rulebook, stage: Stage = stage_some("claim_hits", "service_hits", "drug_hits", "marked"), seen: Seen = _go_on) -> DataFrame:
     """Numerators and denominators of every cell of the rulebook, in one long result.
 
     ``stage`` may write an intermediate table and read it back, which cuts the
-    plan and lets its readers share one pass over claims and services.
+    plan and lets its readers share one pass over claims and services. ``seen``
+    is shown the rows of every one of ``STEPS``, with the condition that says
+    which of them passed it, and gives back the rows to go on with.
     """
     claim_hit = stage(claim_hits(inputs.claims, book), "claim_hits")
     sources = {m.source for m in book.metrics}
@@ -394,25 +415,31 @@ def evaluate(inputs: Inputs, book: Rulebook, stage: Stage = stage_some("marked")
     hits = [service_hit] if "service" in sources else []
     if "drug" in sources:
         hits.append(stage(service_hits(inputs.drugs, book, "drug"), "drug_hits"))
-    tests = _candidates(reduce(DataFrame.unionByName, hits), inputs, book)
-
-    firsts = first_claims(inputs.claims, book)
+    everyone, hits = F.lit(True), reduce(DataFrame.unionByName, hits).filter(F.col("tag") == "test")
+    by = deal(hits, ["MRN"])
+    # claims of patients without a test decide nothing but monthly denominators
+    tested = dataclasses.replace(inputs, claims=filtered(inputs.claims, "MRN", stage(key_set(hits, "MRN"), "tested")))
+    tests, cohort, history, admission, scored, unflagged, numerator = STEPS
+    rows = seen(tests, _candidates(hits, inputs, book, by), everyone)
+
+    firsts = first_claims(tested.claims, book)
     facts = _patient_facts(claim_hit if book.has("dx_tied") else None, service_hit if book.has("secondary") else None)
     if facts is not None:
         facts = stage(facts, "patient_facts")
-    tests = _with_history(tests, firsts, facts, book).filter(_cohort_ok(book) & _history_ok(book))
+    rows = seen(cohort, _with_history(rows, firsts, facts, book, by), _cohort_ok(book)).filter(_cohort_ok(book) & _history_ok(book))
     # several branches read the candidates: admissions, report start, red flags
-    tests = stage(tests, "candidates")
+    rows = seen(history, stage(rows, "candidates"), everyone)
     if book.has("admission"):
         surgeries = service_hit.filter(F.col("tag") == "surgery") if service_hit is not None else None
-        tests = _admissions(tests, surgeries, inputs, book, stage)
+        rows = _admissions(rows, surgeries, inputs, book, stage)
     else:
-        tests = tests.withColumns({"ADM_DT_a": F.lit(None).cast("date"), "SURG_DATE": F.lit(None).cast("timestamp"),
-                                   "adms_flag": F.lit(False)})
-    tests = stage(_after_report_start(tests, inputs, book), "qualified")
-    tests = _flagged(tests, claim_hit, service_hit, inputs, book, stage)
-    tests = _culled(tests, inputs, book)
-    result = stage(_service_terms(tests, book), "service_terms")
+        rows = rows.withColumns({"ADM_DT_a": F.lit(None).cast("date"), "SURG_DATE": F.lit(None).cast("timestamp"),
+                                 "adms_flag": F.lit(False)})
+    rows = stage(_after_report_start(rows, inputs, book), "qualified")
+    rows = seen(scored, seen(admission, rows, _not_just_admitted(book)), _not_just_admitted(book) & _is_scored(book))
+    rows = seen(unflagged, _flagged(rows, claim_hit, service_hit, tested, book, stage, by), F.col("in_numerator"))
+    rows = seen(numerator, _culled(rows, tested, book, by), _is_numerator(book))
+    result = stage(_service_terms(rows, book), "service_terms")
 
     monthly = [m.name for m in book.metrics if m.monthly]
     if monthly:

@@ -1,10 +1,15 @@
-"""Stage attrition: rows and patients left after each stage of a metric."""
+"""Step attrition: tests and patients left after each step of every metric.
+
+The counts are taken from the tables that ``evaluate`` itself goes on with, so
+the trace and the result cannot part; the last step holds the tests of which
+the numerator keeps one a patient, day and code.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lowtide.plans import metrics as P
@@ -12,35 +17,35 @@ from lowtide.plans.rulebook import Rulebook
 from lowtide.sources.sinks import stage
 
 
-def attrition(inputs: P.Inputs, book: Rulebook) -> DataFrame:
-    """(mode, metric, stage, rows, patients) of the numerator side.
+class Tracer:
+    """Keeps the rows that pass each step of ``evaluate``, as (mode, metric, MRN, step).
 
-    Every stage is a flag on the candidate rows, so all counts come from one
-    pass: rows by a conditional count, patients by a maximum per patient first.
-    Metrics read from drugs, with admissions or with repeat scans take further
-    stages that are not traced, and are refused.
+    A step's rows are written once: the metrics go on with the same table that
+    is counted. Tests before the study window only date a report and are left out.
     """
-    untraced = [m.name for m in book.metrics if m.source != "service" or m.admission or m.repeat_scan]
-    if untraced:
-        raise ValueError(f"no trace for {', '.join(untraced)}")
-    hits = P.claim_hits(inputs.claims, book)
-    services = P.service_hits(inputs.services, book, "service")
-    tests = P._candidates(services, inputs, book)
-    facts = P._patient_facts(hits, services if book.has("secondary") else None)
-    marked = P._with_history(tests, P.first_claims(inputs.claims, book), facts, book)
-    cohort, history = P._cohort_ok(book), P._history_ok(book)
-    staged = marked.withColumns({"cohort": cohort, "history": cohort & history})
-    base = staged.withColumns({"ADM_DT_a": F.lit(None).cast("date"), "SURG_DATE": F.lit(None).cast("timestamp"),
-                               "adms_flag": F.lit(False)})
-    base = P._after_report_start(base, inputs, book)
-    flagged = P._flagged(base, hits, services, inputs, book, stage, within=F.col("history"))
-    flagged = flagged.withColumn("unflagged", F.col("history") & F.col("in_numerator"))
-    kept = P._culled(flagged, inputs, book).withColumn("numerator", F.col("history") & F.col("in_numerator"))
-    stages = ["cohort", "history", "unflagged", "numerator"]
-    flags = [F.lit(1).alias("tests")] + [F.col(s).cast("int").alias(s) for s in stages]
-    per_patient = kept.select(*P.CELL, *flags).groupBy(*P.CELL).agg(*[F.sum(s).alias(s) for s in ["tests", *stages]])
-    names = F.array(*[F.struct(F.lit(f"{i + 1} {s}").alias("stage"), F.col(s).alias("n"))
-                      for i, s in enumerate(["tests", *stages])])
-    return (per_patient.select("mode", "metric", F.inline(names))
-            .groupBy("mode", "metric", "stage")
-            .agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > 0).alias("patients")))
+
+    def __init__(self, inputs: P.Inputs):
+        self.start = F.lit(inputs.study.start).cast("timestamp")
+        self.steps: list[DataFrame] = []
+
+    def __call__(self, step: str, rows: DataFrame, passed: Column) -> DataFrame:
+        rows = stage(rows, "trace")
+        kept = rows.filter(passed & (F.col("TEST_DATE") >= self.start))
+        self.steps.append(kept.select(*P.CELL, F.lit(step).alias("stage")))
+        return rows
+
+    def counts(self, book: Rulebook) -> DataFrame:
+        """(mode, metric, stage, rows, patients) of every cell and step, zeros included."""
+        # rows of a patient are added up first, so a patient of any size is one row of the second grouping
+        patients = reduce(DataFrame.unionByName, self.steps).groupBy(*P.CELL, "stage").agg(F.count(F.lit(1)).alias("n"))
+        found = patients.groupBy("mode", "metric", "stage").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("patients"))
+        cells = [(mode.name, metric.name, step) for mode in book.modes for metric in book.metrics for step in P.STEPS]
+        every = found.sparkSession.createDataFrame(cells, "mode string, metric string, stage string")
+        return every.join(found, ["mode", "metric", "stage"], "left").fillna(0, ["rows", "patients"])
+
+
+def attrition(inputs: P.Inputs, book: Rulebook) -> DataFrame:
+    """(mode, metric, stage, rows, patients) on the way into the numerators of the rulebook's cells."""
+    tracer = Tracer(inputs)
+    P.evaluate(inputs, book, stage, tracer)
+    return tracer.counts(book)

@@ -1,5 +1,6 @@
 """Oracle SQL: cohorts, joins, denominators, numerators, windows."""
 
+from lowtide.model import METRIC_NAMES, MODES
 from oracle.base import D0, D1, with_base
 from oracle.cells import cells, gap, result_sql
 from oracle.tables import PART_RULES
@@ -71,6 +72,22 @@ _LAG = """lagged AS (SELECT MRN, ENC_ID, EVT_DATE, lag(EVT_DATE) OVER (PARTITION
 
 _DX = f"dxt AS (SELECT c.MRN, min(c.EVT_DATE) AS first_dx FROM claims c JOIN r0 r ON {hit('c.ICD10_subcode')} GROUP BY c.MRN)"
 
+_TEST = "mode, metric, MRN, TEST_CODE, TEST_DATE"
+_STEPS = f"""steps AS (
+  SELECT DISTINCT '1 tests' AS stage, s.mode, s.metric, s.MRN, s.CODE AS TEST_CODE, s.EVT_DATE AS TEST_DATE FROM s
+    JOIN rule r ON r.mode = s.mode AND r.metric = s.metric AND r.role = 'service' AND r.subcode = s.CODE WHERE s.EVT_DATE >= TIMESTAMP '{D0}'
+  UNION ALL SELECT DISTINCT '2 cohort', {_TEST} FROM t0 WHERE TEST_DATE >= TIMESTAMP '{D0}'
+  UNION ALL SELECT DISTINCT '3 history', {_TEST} FROM t0 JOIN settings e USING (metric) WHERE TEST_DATE >= TIMESTAMP '{D0}'
+    AND (NOT e.needs_claim OR EXISTS (SELECT 1 FROM c WHERE c.mode = t0.mode AND c.metric = t0.metric AND c.MRN = t0.MRN
+         AND c.icd IS NOT NULL AND c.EVT_DATE <= t0.TEST_DATE))
+    AND (NOT EXISTS (SELECT 1 FROM sec WHERE sec.mode = t0.mode AND sec.metric = t0.metric AND sec.MRN = t0.MRN)
+         OR EXISTS (SELECT 1 FROM sec WHERE sec.mode = t0.mode AND sec.metric = t0.metric AND sec.MRN = t0.MRN AND sec.rDATE <= t0.TEST_DATE))
+  UNION ALL SELECT DISTINCT '4 admission', {_TEST} FROM hs WHERE TEST_DATE >= TIMESTAMP '{D0}'
+  UNION ALL SELECT DISTINCT '5 scored', {_TEST} FROM n0
+  UNION ALL SELECT DISTINCT '6 unflagged', n0.mode, n0.metric, n0.MRN, TEST_CODE, TEST_DATE FROM n0
+    LEFT JOIN outs o ON o.mode = n0.mode AND o.metric = n0.metric AND o.MRN = n0.MRN WHERE o.MRN IS NULL
+  UNION ALL SELECT DISTINCT '7 numerator', {_TEST} FROM n1)"""
+
 SQL = {
     "coh1_demographics": with_base(f"SELECT {SVC}, age AS AgeAtTest, GENDER FROM services WHERE age >= 40 AND age < 80 AND GENDER = 'M'"),
     "coh2_metric_rules": with_base("SELECT p_partkey, role, cls, subcode, cast(sw as bigint) AS startWith FROM part_rules WHERE metric = 'lbp'", PART_RULES),
@@ -136,13 +153,8 @@ SQL = {
   AND ENC_ID IN (SELECT ENC_ID FROM lagged WHERE {gap('EVT_DATE', 'prev')} < 730)""", tests_of("dexa") + [_LAG]),
     "win3_feeding_tubes": result_sql(["feed"], ["refto10_gems"], "proc_claims", """SELECT MRN, TEST_CODE,
   cast(TEST_DATE_a as varchar) AS TEST_DATE_a, based_on, cast(cast(CLAIM_DATE as date) as varchar) AS CLAIM_DATE FROM result WHERE term = 'numerator'"""),
-    "trc1_attrition": result_sql(["lbp"], ["10to10"], body=f"""SELECT '10to10' AS mode, 'lbp' AS metric, stage,
-  count(*) AS rows, count(DISTINCT MRN) AS patients FROM (
-    SELECT DISTINCT '1 tests' AS stage, MRN, TEST_CODE, TEST_DATE FROM lbp_tests
-    UNION ALL SELECT DISTINCT '2 cohort', MRN, TEST_CODE, TEST_DATE FROM t0 WHERE TEST_DATE >= TIMESTAMP '{D0}'
-    UNION ALL SELECT DISTINCT '3 history', MRN, TEST_CODE, TEST_DATE FROM n0
-    UNION ALL SELECT DISTINCT '4 unflagged', MRN, TEST_CODE, TEST_DATE FROM n0 WHERE MRN NOT IN (SELECT MRN FROM outs)
-    UNION ALL SELECT DISTINCT '5 numerator', MRN, TEST_CODE, TEST_DATE FROM n1) GROUP BY stage""",
-                                 extra=[f"""lbp_tests AS (SELECT s.MRN, s.CODE AS TEST_CODE, s.EVT_DATE AS TEST_DATE FROM s
-  JOIN rule r ON r.mode = s.mode AND r.metric = s.metric AND r.role = 'service' AND r.subcode = s.CODE WHERE s.EVT_DATE >= TIMESTAMP '{D0}')"""]),
+    "trc1_attrition": result_sql(METRIC_NAMES, list(MODES), extra=[_STEPS], body="""SELECT c.mode, c.metric, n.stage,
+  count(k.MRN) AS rows, count(DISTINCT k.MRN) AS patients
+  FROM cell c CROSS JOIN (VALUES ('1 tests'), ('2 cohort'), ('3 history'), ('4 admission'), ('5 scored'), ('6 unflagged'), ('7 numerator')) n(stage)
+  LEFT JOIN steps k ON k.mode = c.mode AND k.metric = c.metric AND k.stage = n.stage GROUP BY c.mode, c.metric, n.stage"""),
 }
