@@ -14,12 +14,14 @@ open. Of several calls (results) with one id in a conversation the first by turn
 counts, and the row tells how many there were; null turns come last. Rows with a
 null conversation or id link with nothing and keep their own row. An ``after``
 that names no call is an error and counts as none; calls on a cycle have no
-level. Arguments that are no JSON object are invalid and have no canonical form.
+level. Arguments that are no JSON object, or hold a number beyond the doubles, are
+invalid and have no canonical form. Half surrogate pairs stay escapes.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -54,13 +56,29 @@ def _only_numbers(name: str) -> None:
     raise ValueError(f"{name} is no JSON number")
 
 
+def _number(text: str) -> int | float:
+    """A number with a fraction or exponent; whole ones below 10^21 are integers, so 1, 1.0 and 1e0 are one value."""
+    value = float(text)
+    if value in (float("inf"), float("-inf")):
+        raise ValueError("beyond the largest double")
+    return int(value) if value.is_integer() and abs(value) < 1e21 else value
+
+
+def plain(text: str) -> str:
+    """``text`` with half surrogate pairs written as escapes, since no UTF-8 text can hold them."""
+    return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
 def canonical(text: str | None) -> tuple[object, str | None]:
-    """Parsed value and canonical form; (None, None) if the text is no JSON. A repeated key keeps its last value."""
+    """Parsed value and canonical form; (None, None) if the text is no JSON or holds a number beyond the doubles.
+
+    A repeated key keeps its last value.
+    """
     try:
-        value = json.loads(text or "", parse_constant=_only_numbers)
+        value = json.loads(text or "", parse_constant=_only_numbers, parse_float=_number)
+        return value, plain(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
     except (ValueError, RecursionError):
         return None, None
-    return value, json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
 def _first(rows: DataFrame, count: str, *columns: str) -> DataFrame:
@@ -120,7 +138,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
                 wrong.append(problems + ["no such dependency"] * bool(missing))
                 texts.append(text if isinstance(value, dict) else None)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(["; ".join(w) for w in wrong], pa.string()), pa.array(texts, pa.string())],
+                [*(batch.column(c) for c in names), pa.array([plain("; ".join(w)) for w in wrong], pa.string()), pa.array(texts, pa.string())],
                 [*names, "errors", "canonical"])
 
     names = ["conv_id", "call_id", "name", "status", "level", "call_turn", "result_turn", "n_calls", "n_results", "content"]

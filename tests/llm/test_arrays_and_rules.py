@@ -209,3 +209,22 @@ def test_tool_links(spark):
     assert got["c", "p"].level is None and got["c", "q"].level is None and got["c", "q"].canonical is None
     assert got["c", "o"].status == "orphan" and got[None, "a"].status == "open"
     assert [got["d", f"k{i}"].level for i in range(40)] == [2 * i for i in range(40)]
+
+
+@pytest.mark.parametrize("text, want", [
+    ('{"a":"\\ud800"}', '{"a":"\\ud800"}'), ('{"\\udc00":1}', '{"\\udc00":1}'), ('{"a":"\\ud83d\\ude00"}', '{"a":"😀"}'),
+    ('{"a":1e999}', None), ('{"a":-1e999}', None), ('{"a":NaN}', None), ('{"a":Infinity}', None), ('{"b":1.0,"a":1e0}', '{"a":1,"b":1}'),
+    ('{"a":-0.0}', '{"a":0}'), ('{"a":0.10}', '{"a":0.1}'), ('{"a":1e300}', '{"a":1e+300}'), ("[" * 100_000, None), ("", None), (None, None)])
+def test_canonical_json(text, want):
+    assert T.canonical(text)[1] == want
+
+
+def test_tool_links_take_any_text(spark):
+    calls = [("c", f"x{k}", k, "t", a, None) for k, a in enumerate(['{"\\ud800":1}', '{"n":"\\udfff"}', '{"n":1e999}', "{", None, "x" * 200_000])]
+    df = T.link(spark.createDataFrame(calls, "conv_id string, call_id string, turn int, name string, arguments string, after string"),
+                spark.createDataFrame([], "conv_id string, call_id string, turn int, content string"), {"t": {"properties": {"n": {"type": "string"}}}})
+    got = {r.call_id: (r.errors, r.canonical) for r in df.collect()}
+    assert got["x0"] == (".\\ud800: unknown", '{"\\ud800":1}') and got["x1"] == ("", '{"n":"\\udfff"}')
+    assert all(got[f"x{k}"] == (".: not object", None) for k in range(2, 6))
+    none = spark.createDataFrame([], "conv_id string, call_id string, turn int, name string, arguments string, after string")
+    assert T.link(none, spark.createDataFrame([], "conv_id string, call_id string, turn int, content string"), {}).count() == 0
