@@ -1,8 +1,10 @@
 """Line deduplication by a segment-partition edit join.
 
-A line of at least ``least`` characters goes when an equal line stands earlier,
-or when a different line within ``distance`` edits has its first place earlier;
-"earlier" is the order of (doc_id, line number). Shorter lines are never touched.
+A line goes when an equal line stands earlier, whatever its length. A line of at
+least ``least`` characters goes too when a different such line within ``distance``
+edits has its first place earlier; by default that is two edits from 24
+characters on, at most one character in twelve. "Earlier" is the order of (doc_id, line
+number). Lines without a word (white space only) are layout and stay.
 
 Two lines within t edits share one of the t + 1 even segments of the shorter one,
 near the same place (multi-match-aware windows). Segments of each length are the
@@ -14,7 +16,8 @@ its first line makes no pairs among itself. Pairs are taken under their length
 and letter-count bounds, cut to where they differ, and checked with a
 bit-parallel edit distance on the band of 2t + 1 diagonals.
 
-Null text has no lines, empty text one (short) line. Rows of equal id and text
+Null text has no lines, empty text one without a word. Very long lines are
+compared whole; their keys hold a hash, not the segment. Rows of equal id and text
 are one place: their lines go or stay together. Rows without an id come first.
 Other columns pass through ``drop_lines`` untouched.
 """
@@ -24,10 +27,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lowtide.functions.bitmaps import filtered, key_set
 from lowtide.sources.sinks import release, stage
 
 DISTANCE = 2
+#: length from which near copies count
 LEAST = 24
+WORD = r"[^\x20\x09-\x0D]"
 #: groups of characters whose counts bound the distance from below, eight to a long
 LETTERS = (*(x + x.upper() for x in "abcdefghijklmnopqrstuvwxyz"), " ", ".,", "01234", "56789", "-_/:;", "áéíóúñüöä")
 
@@ -37,9 +43,10 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
 
 
-def _eligible(docs: DataFrame, least: int) -> DataFrame:
+def _worded(docs: DataFrame) -> DataFrame:
+    """Lines with a word, with their length, two hashes and place."""
     place = F.expr("cast(coalesce(doc_id, -9223372036854775808) as decimal(20,0)) * 2147483648 + at").cast("decimal(38,0)")
-    return lines_of(docs).withColumn("size", F.length("line")).filter(F.col("size") >= least).select(
+    return lines_of(docs).filter(F.regexp_like("line", F.lit(WORD))).withColumn("size", F.length("line")).select(
         "doc_id", "body", "at", "line", "size", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
         place.alias("place"))
 
@@ -133,7 +140,8 @@ def _near(lines: DataFrame, firsts: DataFrame, distance: int) -> DataFrame:
     met = stage(keyed.join(heads, "key").filter("h1 <> head").select(
         F.explode(F.array("h1", "head")).alias("h1")).distinct(), "lines-met")
     release(heads)
-    some = lines.select("h1", "h2", "line").join(met.hint("merge"), "h1", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
+    # copies fall together before they meet the semi join, and most lines without a shared key before they move
+    some = filtered(lines, "h1", key_set(met, "h1")).select("h1", "h2", "line").distinct().join(met.hint("merge"), "h1", "left_semi")
     some = stage(some.join(firsts, ["h1", "h2"]).select(
         "h1", "h2", "line", F.length("line").alias("size"), "first", *_counts()), "lines-some")
     release(met)
@@ -194,10 +202,10 @@ def _counts() -> list[Column]:
 
 def dropped(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST) -> DataFrame:
     """``doc_id, body, at, is_copy, is_near`` of the lines that go."""
-    lines = _eligible(docs, least)
+    lines = _worded(docs)
     narrow = stage(lines.select("doc_id", "body", "at", "h1", "h2", "place"), "lines")
     known = stage(narrow.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")), "lines-distinct")
-    near = _near(lines, known.select("h1", "h2", "first"), distance)
+    near = _near(lines.filter(F.col("size") >= least), known.select("h1", "h2", "first"), distance)
     marked = known.join(near.withColumn("is_near", F.lit(True)), ["h1", "h2"], "left").filter("n > 1 or is_near")
     marked = stage(marked.select("h1", "h2", "first", F.coalesce("is_near", F.lit(False)).alias("is_near")), "lines-marked")
     release(known)
@@ -226,6 +234,6 @@ def drop_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST) ->
     left = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(F.col("g.all"), i)), "\n")
     new = F.when(F.col("g.all").isNull(), text).otherwise(left)
     joined = d.join(g, F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.xxhash64("d.text") == F.col("g.body")), "left")
-    joined = joined.filter(F.col("g.all").isNull() | F.regexp_like(left, F.lit(r"[^\x20\x09-\x0D]")))
+    joined = joined.filter(F.col("g.all").isNull() | F.regexp_like(left, F.lit(WORD)))
     return joined.select(*(new.alias(c) if c == "text" else F.when(F.col("g.all").isNull(), F.col("d.n_chars")).otherwise(
         F.length(new).cast("long")).alias(c) if c == "n_chars" else F.col(f"d.`{c}`") for c in docs.columns))

@@ -50,13 +50,13 @@ _LETTERS = ("aeiou", "nrst", "dlmc", "., -")
 _COUNTS = ", ".join(f"length(line) - length(translate(line, '{x}', '')) AS c{i}" for i, x in enumerate(_LETTERS))
 _APART = " + ".join(f"abs(a.c{i} - b.c{i})" for i in range(len(_LETTERS)))
 
-OP10 = f"""WITH lists AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+OP10 = rf"""WITH lists AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS k FROM lists),
-long AS (SELECT *, doc_id::HUGEINT * 2147483648 + k AS place FROM lines WHERE length(line) >= 24),
-firsts AS (SELECT line, min(place) AS first, length(line) AS n, {_COUNTS} FROM long GROUP BY line),
+worded AS (SELECT *, doc_id::HUGEINT * 2147483648 + k AS place FROM lines WHERE regexp_matches(line, '{WORD}')),
+firsts AS (SELECT line, min(place) AS first, length(line) AS n, {_COUNTS} FROM worded GROUP BY line),
 near AS (SELECT DISTINCT a.line FROM (SELECT *, n + d AS other FROM firsts, range(-2, 3) r(d)) a JOIN firsts b ON b.n = a.other
-  WHERE a.first > b.first AND {_APART} <= 4 AND levenshtein(a.line, b.line) <= 2),
-gone AS (SELECT doc_id, k, place > first AS is_copy FROM long JOIN firsts USING (line)
+  WHERE a.n >= 24 AND b.n >= 24 AND a.first > b.first AND {_APART} <= 4 AND levenshtein(a.line, b.line) <= 2),
+gone AS (SELECT doc_id, k, place > first AS is_copy FROM worded JOIN firsts USING (line)
   WHERE place > first OR line IN (SELECT line FROM near)),
 marks AS (SELECT doc_id, count(*) FILTER (is_copy) AS c, count(*) FILTER (NOT is_copy) AS n,
   string_agg(k::VARCHAR, ',' ORDER BY k) AS dropped FROM gone GROUP BY doc_id)
