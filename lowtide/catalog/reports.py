@@ -189,29 +189,32 @@ def evl13_annotation_counts(spark: SparkSession, sf: str) -> DataFrame:
     return present(E.annotation_counts(_gold(spark, sf)))
 
 
-def _quota(spark: SparkSession) -> DataFrame:
+def _quota(spark: SparkSession, needed: int) -> DataFrame:
+    """As many rows of each label from every cell."""
     from lowtide import model as M
 
-    return C.local(spark, M.schema(metric=M.STRING, label=M.STRING, needed=M.INT),
-                   [(m, label, 5) for m in METRIC_NAMES for label in (E.NUMER, E.NOT_NUMER)])
+    return C.local(spark, M.schema(mode=M.STRING, metric=M.STRING, label=M.STRING, needed=M.INT),
+                   [(mode, m, label, needed) for mode in M.MODES for m in METRIC_NAMES for label in (E.NUMER, E.NOT_NUMER)])
 
 
 DRAW = ["metric", "MRN", "TEST_DATE_a", "TEST_CODE"]
+STRATA = ("mode", *P.STRATA)
+
+
+def _in_study(spark: SparkSession, sf: str) -> DataFrame:
+    return _labelled(spark, sf).filter(F.col("TEST_DATE_month").isin(PERIOD))
 
 
 def _sample(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _labelled(spark, sf).filter((F.col("mode") == "10to10") & F.col("TEST_DATE_month").isin(PERIOD))
-    return P.stratified(rows, _quota(spark), DRAW)
+    return P.stratified(_in_study(spark, sf), _quota(spark, 5), DRAW, strata=STRATA)
 
 
 def smp1_stratified_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return present(P.blinded(_sample(spark, sf)), "metric", "MRN", "TEST_CODE", "TEST_DATE_a", "TEST_DATE_month")
+    return present(P.blinded(_sample(spark, sf)), "mode", "metric", "MRN", "TEST_CODE", "TEST_DATE_a", "TEST_DATE_month")
 
 
 def smp2_missed_quota(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _labelled(spark, sf).filter((F.col("mode") == "10to10") & F.col("TEST_DATE_month").isin(PERIOD))
-    wanted = _quota(spark).withColumn("needed", F.lit(40))
-    return present(P.missed_quota(rows, wanted))
+    return present(P.missed_quota(_in_study(spark, sf), _quota(spark, 40), STRATA))
 
 
 def smp3_annotation_period(spark: SparkSession, sf: str) -> DataFrame:
@@ -235,7 +238,7 @@ def snk2_report_file(spark: SparkSession, sf: str) -> DataFrame:
 
 def snk3_sheets(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "sheets")
-    sheet = present(P.blinded(_sample(spark, sf)), "metric", "MRN", "TEST_CODE", "TEST_DATE_a")
+    sheet = present(P.blinded(_sample(spark, sf).filter("mode = '10to10'")), "metric", "MRN", "TEST_CODE", "TEST_DATE_a")
     sinks.write_sheets(sheet, path)
     columns = reduce(lambda s, c: s.add(c, "string"), [*sheet.columns, "sheet"], type(sheet.schema)())
     return spark.read.schema(columns).csv(path, header=True)

@@ -11,7 +11,7 @@ from lowtide.functions.sizing import lookup
 from lowtide.model import METRIC_NAMES, METRICS, MODES, RESULT_SCHEMA
 from lowtide.operators import crosswalk as X
 from lowtide.operators import normalize as N
-from lowtide.plans import rulebook
+from lowtide.plans import rulebook, upkeep
 from lowtide.plans.metrics import Inputs, evaluate
 from lowtide.session import scratch_dir
 from lowtide.sources import builds, clinical as C, readers, sinks
@@ -106,20 +106,23 @@ def run(spark: SparkSession, sf_dir: str, metrics: tuple[str, ...], modes: tuple
     return evaluate(given, rules) if stage is None else evaluate(given, rules, stage)
 
 
+#: tables of the test data that the metrics are made from
+SOURCES = ("customer", "orders", "lineitem", "part")
 _results: dict[tuple[str, str], str] = {}
 
 
-def write_grid(spark: SparkSession, sf_dir: str) -> str:
-    """Compute all 55 cells in one staged run and store the long result."""
-    grid = run(spark, sf_dir, METRIC_NAMES, tuple(MODES), stage=sinks.stage)
-    path = scratch_dir(spark, "grid")
-    sinks.write_result(grid, path)
-    return path
+@lru_cache(maxsize=4)
+def _rule_hashes(spark: SparkSession) -> dict[tuple[str, str, str], str]:
+    return upkeep.rule_hashes(full_book(spark))
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored grid; computed once per session and data folder, read by every report."""
+    """The stored grid of all 55 cells, read by every report; cells whose rules or input files changed are computed first."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _results:
-        _results[key] = write_grid(spark, sf_dir)
-    return sinks.read_result(spark, _results[key], RESULT_SCHEMA)
+        _results[key] = scratch_dir(spark, "grid")
+    path = _results[key]
+    files = upkeep.input_state(spark, [f"{sf_dir}/{name}.parquet" for name in SOURCES])
+    states = upkeep.cell_states(full_book(spark), _rule_hashes(spark), STUDY, files)
+    upkeep.update(spark, path, full_book(spark), states, lambda metrics: inputs(spark, sf_dir, metrics), sinks.stage)
+    return sinks.read_result(spark, path, RESULT_SCHEMA)

@@ -16,17 +16,20 @@ def draw_order(*columns: str, seed: int = SEED) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
 
 
-def stratified(rows: DataFrame, quota: DataFrame, key: list[str], seed: int = SEED) -> DataFrame:
-    """Up to the quota per (metric, label), without replacement; the label is hidden.
+STRATA = ("metric", "label")
 
-    ``quota`` has metric, label, needed. The outer bound on the rank is a
+
+def stratified(rows: DataFrame, quota: DataFrame, key: list[str], seed: int = SEED, strata: tuple[str, ...] = STRATA) -> DataFrame:
+    """Up to the quota per stratum, without replacement; the label is hidden.
+
+    ``quota`` has the strata and needed. The outer bound on the rank is a
     literal, so Spark limits every group before the shuffle and a group that
     holds most of the rows still sends only ``max(needed)`` rows per task.
     """
     most = quota.agg(F.max("needed")).first()[0] or 0
-    order = W.partitionBy("metric", "label").orderBy(draw_order(*key, seed=seed), *key)
+    order = W.partitionBy(*strata).orderBy(draw_order(*key, seed=seed), *key)
     ranked = rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= int(most))
-    chosen = ranked.join(quota, ["metric", "label"]).filter(F.col("_rank") <= F.col("needed"))
+    chosen = ranked.join(quota, list(strata)).filter(F.col("_rank") <= F.col("needed"))
     return chosen.drop("_rank", "needed")
 
 
@@ -35,10 +38,10 @@ def blinded(sampled: DataFrame) -> DataFrame:
     return sampled.drop("label").orderBy("metric", "TEST_DATE_a")
 
 
-def missed_quota(rows: DataFrame, quota: DataFrame) -> DataFrame:
+def missed_quota(rows: DataFrame, quota: DataFrame, strata: tuple[str, ...] = STRATA) -> DataFrame:
     """Strata with fewer rows than asked for."""
-    have = rows.groupBy("metric", "label").agg(F.count(F.lit(1)).alias("available"))
-    return (quota.join(have, ["metric", "label"], "left").withColumn("available", F.coalesce("available", F.lit(0)))
+    have = rows.groupBy(*strata).agg(F.count(F.lit(1)).alias("available"))
+    return (quota.join(have, list(strata), "left").withColumn("available", F.coalesce("available", F.lit(0)))
             .filter("available < needed"))
 
 

@@ -69,3 +69,19 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of any file system that Spark reaches, if it is there."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def files_below(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, size, modification time) of the files of a folder, or of one file, of any file system that Spark reaches."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    listed = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(where, True)
+    out = []
+    while listed.hasNext():
+        f = listed.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return out

@@ -114,7 +114,6 @@ def older_claim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ICD-9 coded diagnosis rows of the earlier period."""
     return (
         table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderpriority") == "5-LOW")
         .select(
             mrn(F.col("o_custkey")).alias("MRN"),
             F.col("o_orderkey").cast("string").alias("ENC_ID"),

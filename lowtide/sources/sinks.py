@@ -14,13 +14,13 @@ SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
-def write_result(result: DataFrame, path: str) -> None:
+def write_result(result: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The long result, one folder per mode, metric and term.
 
     Rows are rebalanced on the folder columns first: a folder gets few files of
     even size, and a cell that holds most of the rows is split.
     """
-    result.hint("rebalance", "mode", "metric", "term").write.mode("overwrite").partitionBy("mode", "metric", "term").parquet(path)
+    result.hint("rebalance", "mode", "metric", "term").write.mode(mode).partitionBy("mode", "metric", "term").parquet(path)
 
 
 def read_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

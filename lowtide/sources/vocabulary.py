@@ -5,7 +5,7 @@ The driver tables carry no clinical codes; these lists give them some.
 
 from __future__ import annotations
 
-# (ICD-10, ICD-9) by position.
+# (ICD-10, ICD-9) by position. The last fifteen set the modes apart.
 DIAGNOSES = [
     ("M54.5", "724.2"), ("M54.30", "724.3"), ("N40.1", "600.01"), ("R35.0", "788.41"),
     ("G43.909", "346.90"), ("F03.90", "294.20"), ("I10", "401.9"), ("G83.4", "344.60"),
@@ -13,7 +13,13 @@ DIAGNOSES = [
     ("Z01.818", "V72.83"), ("K21.9", "530.81"), ("I25.10", "414.01"), ("H25.9", "366.10"),
     ("N18.3", "585.3"), ("E11.9", "250.00"), ("J45.909", "493.90"), ("D64.9", "285.9"),
     ("R51", "784.0"), ("S22.000A", "805.2"), ("C79.51", "198.5"), ("R63.4", "783.21"),
+    ("M54.9", "724.9"), ("G43.111", "346.11"), ("F03.91", "294.22"), ("I25.2", "414.9"),
+    ("M54.31", "724.3"), ("G43.901", "346.90"), ("I25.700", "414.02"), ("I25.710", "414.02"),
+    ("I25.810", "414.05"), ("M54.16", "724.4"), ("F03.911", "294.21"), ("C80.1", "199.1"), ("R07.2", "786.51"),
+    ("F03.92", "294.20"), ("S22.001A", "805.2"),
 ]
+# without a crosswalk row: only rules written in ICD-10 reach them
+UNMAPPED = {"M54.9", "G43.111", "F03.91", "I25.2"}
 
 # CPT by position.
 PROCEDURES = ["72148", "72100", "76770", "74176", "93015", "93000", "88142", "82306", "77080", "71020",
@@ -72,18 +78,22 @@ SURGERY = [("nonpreop", "29881"), ("nonpreop", "29827"), ("catpreop", "66984"),
 
 # ICD-9, ICD-10, kind, expired
 CROSSWALK = (
-    [(nine, ten, "d", None) for ten, nine in DIAGNOSES]
-    + [("733.00", "M81.0", "d", None), ("414.00", "I25.10", "d", None),
-       ("724.3", "M54.31", "d", None), ("414.01", "I25.110", "d", None),
+    [(nine, ten, "d", None) for ten, nine in DIAGNOSES if ten not in UNMAPPED]
+    + [("733.00", "M81.0", "d", None), ("414.00", "I25.10", "d", None), ("414.01", "I25.110", "d", None),
+       # a second ICD-9 code outside the rules, which the one-target map of claims takes
+       ("411.89", "I25.810", "d", None), ("353.4", "M54.16", "d", None), ("290.40", "F03.911", "d", None),
        ("339.00", "R51", "d", "2014-09-30"), ("43.11", FEEDING_TUBE_PCS, "p", None)]
 )
 # Codes with several unexpired or expired targets; their rows are approximate.
-MANY_TARGETS = {"M81.0", "I25.10", "724.3", "414.01", "R51"}
+MANY_TARGETS = {"M81.0", "I25.10", "724.3", "414.01", "R51", "346.90", "414.02", "294.20", "805.2", "I25.810", "M54.16", "F03.911"}
 
 # ICD-10 code -> level; the ICD-9 partner in DIAGNOSES has the same level.
 HCC_LEVELS = [("C79.51", "8"), ("C61", "12"), ("E11.9", "19"), ("N18.3", "138"), ("S22.000A", "169")]
 CCS_LEVELS = [("M54.5", "205"), ("M54.30", "205"), ("N40.1", "164"), ("R35.0", "163"), ("R07.9", "102"),
               ("I25.10", "101"), ("F03.90", "653"), ("G43.909", "84")]
+# codes whose level differs between the generations: rules that name a level widen when they are mapped forward
+OWN_LEVELS = {("hcc", 10): [("C80.1", "8")], ("hcc", 9): [("199.1", "12"), ("290.40", "52")],
+              ("ccs", 10): [("R07.2", "102")], ("ccs", 9): [("786.51", "133")]}
 
 # drug, unit price
 DRUG_PRICES = [("red", "d03431", 0.5), ("blue", "d03428", 0.75), ("hot", "d04825", 1.25),
@@ -97,7 +107,8 @@ def levels(kind: str, generation: int) -> list[tuple[str, str]]:
     """(dot-free code, level) pairs of one generation."""
     pairs = HCC_LEVELS if kind == "hcc" else CCS_LEVELS
     partner = dict(DIAGNOSES)
-    return [((code if generation == 10 else partner[code]).replace(".", ""), level) for code, level in pairs]
+    shared = [(code if generation == 10 else partner[code], level) for code, level in pairs]
+    return [(code.replace(".", ""), level) for code, level in shared + OWN_LEVELS[kind, generation]]
 
 
 def crosswalk_rows() -> list[tuple]:

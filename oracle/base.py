@@ -28,7 +28,7 @@ def _mrn(column: str) -> str:
     return f"lpad(cast({column} as varchar), 9, '0')"
 
 
-DIAG = "(o_orderkey * 7 + o_custkey) % 24"
+DIAG = f"(o_orderkey * 7 + o_custkey) % {len(V.DIAGNOSES)}"
 D0, D1 = STUDY.start.isoformat(), STUDY.end.isoformat()
 FROM, ADM_TO = STUDY.service_from.isoformat(), STUDY.admissions_to.isoformat()
 
@@ -75,7 +75,7 @@ add(f"""proc_claim AS (
     WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 29 = 0) r JOIN patient p USING (MRN))""")
 add(f"""older_raw AS (
   SELECT {_mrn('o_custkey')} AS MRN, cast(o_orderkey as varchar) AS ENC_ID, o_orderdate AS EVT_DATE, d.nine AS CODE
-  FROM orders JOIN diag d ON d.i = {DIAG} WHERE o_orderpriority = '5-LOW')""")
+  FROM orders JOIN diag d ON d.i = {DIAG})""")
 add(f"""raw_service AS (
   SELECT {_mrn('o_custkey')} AS MRN, cast(l_orderkey as varchar) AS ENC_ID, c.code AS CODE, l_shipdate AS EVT_DATE
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN proc c ON c.i = l_partkey % 20)""")

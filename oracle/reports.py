@@ -59,12 +59,12 @@ def ratio(top: str, bottom: str) -> str:
 
 
 SENS, SPEC = ratio("tp", "tp + fn"), ratio("tn", "tn + fp")
-NATIVE = f"""native AS (SELECT * FROM labelled WHERE mode = '10to10' AND TEST_DATE_month IN ({PERIOD}))"""
-DRAWN = """drawn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY metric, label
+STUDIED = f"""studied AS (SELECT * FROM labelled WHERE TEST_DATE_month IN ({PERIOD}))"""
+DRAWN = """drawn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mode, metric, label
     ORDER BY md5('54|' || metric || '|' || MRN || '|' || cast(TEST_DATE_a as varchar) || '|' || TEST_CODE), metric, MRN, TEST_DATE_a, TEST_CODE) AS k
-  FROM native) WHERE k <= 5)"""
+  FROM studied) WHERE k <= 5)"""
 COST_SHOW = f"SELECT mode, metric, term, MRN, TEST_CODE, {DAY}, dollar_reimb FROM costed"
-QUOTA = "asked AS (SELECT key AS metric, l.label, 40 AS needed FROM demo, (VALUES ('Numer'), ('Not_Numer')) l(label))"
+QUOTA = "asked AS (SELECT mode, key AS metric, l.label, 40 AS needed FROM modes, demo, (VALUES ('Numer'), ('Not_Numer')) l(label))"
 NOTES = "notes AS (SELECT substr(g.Metric, 4) AS metric, MRN, TEST_CODE, TEST_DATE_a, TEST_DATE_month, Term_assessed FROM gold g)"
 
 SQL = {
@@ -109,13 +109,13 @@ SQL = {
     AND l.TEST_DATE_month = a.TEST_DATE_month) GROUP BY m.mode, a.metric""", CHAIN[:3]),
     "evl13_annotation_counts": with_base("""SELECT metric, count(*) FILTER (Term_assessed = 'Numer') AS Numer,
   count(*) FILTER (Term_assessed = 'Not_Numer') AS Not_Numer FROM au GROUP BY metric""", [GOLD]),
-    "smp1_stratified_sample": grid(f"SELECT metric, MRN, TEST_CODE, {DAY}, TEST_DATE_month FROM drawn", [NOTNUM, LABELLED, NATIVE, DRAWN]),
-    "smp2_missed_quota": grid("""SELECT a.metric, a.label, cast(a.needed as bigint) AS needed, count(n.MRN) AS available FROM asked a
-  LEFT JOIN native n ON n.metric = a.metric AND n.label = a.label GROUP BY a.metric, a.label, a.needed HAVING count(n.MRN) < a.needed""",
-                              [NOTNUM, LABELLED, NATIVE, QUOTA]),
+    "smp1_stratified_sample": grid(f"SELECT mode, metric, MRN, TEST_CODE, {DAY}, TEST_DATE_month FROM drawn", [NOTNUM, LABELLED, STUDIED, DRAWN]),
+    "smp2_missed_quota": grid("""SELECT a.mode, a.metric, a.label, cast(a.needed as bigint) AS needed, count(n.MRN) AS available FROM asked a
+  LEFT JOIN studied n ON n.mode = a.mode AND n.metric = a.metric AND n.label = a.label GROUP BY a.mode, a.metric, a.label, a.needed HAVING count(n.MRN) < a.needed""",
+                              [NOTNUM, LABELLED, STUDIED, QUOTA]),
     "smp3_annotation_period": with_base(f"SELECT metric, MRN, TEST_CODE, {DAY}, TEST_DATE_month, Term_assessed FROM notes WHERE TEST_DATE_month IN ({PERIOD})", [NOTES]),
     "snk1_result_table": result_sql(["lbp"], ["10to10"]),
     "snk2_report_file": grid("""SELECT mode, metric, count(*) FILTER (term = 'numerator') AS numerator,
   count(*) FILTER (term = 'denominator') AS denominator FROM result GROUP BY mode, metric"""),
-    "snk3_sheets": grid(f"SELECT metric, MRN, TEST_CODE, {DAY}, metric AS sheet FROM drawn", [NOTNUM, LABELLED, NATIVE, DRAWN]),
+    "snk3_sheets": grid(f"SELECT metric, MRN, TEST_CODE, {DAY}, metric AS sheet FROM drawn WHERE mode = '10to10'", [NOTNUM, LABELLED, STUDIED, DRAWN]),
 }

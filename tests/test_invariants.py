@@ -8,9 +8,11 @@ from lowtide import model as M
 from lowtide.catalog import study
 from lowtide.catalog.measures import shown
 from lowtide.operators import crosswalk as X
-from lowtide.plans import rulebook
+from lowtide.plans import rulebook, upkeep
 from lowtide.plans.metrics import evaluate
+from lowtide.session import files_below, remove
 from lowtide.sources import clinical as C
+from lowtide.sources import sinks
 from support import rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -68,3 +70,36 @@ def test_without_broadcasts_the_same(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == want and want
+
+
+def test_only_changed_cells_are_computed(spark, tmp_path):
+    """One more rule, a changed file, a killed run: the cells concerned are computed again, the result is that of a whole run."""
+    names, modes = ("card", "lbp", "cerv"), ("10to10", "claimto9_reimb")
+    refs, path = study.references(spark), str(tmp_path / "grid")
+    more = refs.rules[10].unionByName(spark.createDataFrame([("redflag", "card", "ICD", "E119", False)], refs.rules[10].schema))
+    books = [rulebook.build(r, list(names), list(modes)) for r in (refs, dataclasses.replace(refs, rules={**refs.rules, 10: more}))]
+    states = [upkeep.cell_states(b, upkeep.rule_hashes(b), study.STUDY, "files") for b in books]
+    given = lambda metrics: study.inputs(spark, SF, metrics)
+
+    def update(k, wanted):
+        return upkeep.update(spark, path, books[k], wanted, given, lambda df, name: df)
+
+    def times():
+        return {f: t for f, _, t in files_below(spark, path) if f.endswith(".parquet")}
+
+    assert len(update(0, states[0])) == 6 and update(0, states[0]) == []
+    before = times()
+    assert update(1, states[1]) == [("10to10", "card")]
+    after = times()
+    assert {f for f in before if before[f] == after.get(f)} == {f for f in before if "mode=10to10/metric=card" not in f}
+    want = rows_of(shown(evaluate(study.inputs(spark, SF, names), books[1])))
+    assert rows_of(shown(sinks.read_result(spark, path, M.RESULT_SCHEMA))) == want
+    # a run that stopped after it removed a cell
+    remove(spark, f"{path}/mode=10to10/metric=lbp")
+    upkeep._note(spark, path, {c: s for c, s in states[1].items() if c != ("10to10", "lbp")})
+    assert update(1, states[1]) == [("10to10", "lbp")]
+    assert rows_of(shown(sinks.read_result(spark, path, M.RESULT_SCHEMA))) == want
+    fewer = {c: s for c, s in states[1].items() if c[1] != "cerv"}
+    assert update(1, fewer) == []
+    assert rows_of(shown(sinks.read_result(spark, path, M.RESULT_SCHEMA).filter("metric = 'cerv'"))) == {}
+    assert upkeep.input_state(spark, [f"{SF}/part.parquet"]) != upkeep.input_state(spark, [f"{SF}/orders.parquet"])
