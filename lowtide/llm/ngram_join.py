@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lowtide.functions.bitmaps import filtered, key_set
 from lowtide.llm.arrays import Block, blocks, mix
 from lowtide.llm.components import components
 from lowtide.sources.sinks import release, stage
@@ -153,7 +154,9 @@ def _whole_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                 rows = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sizes), lists], ["set_id", "n", "tokens"])
                 yield rows.filter(pa.array(wanted))
 
-    texts = docs.select(F.col("doc_id").alias("first_id"), "text").join(chosen.select("first_id", "set_id"), "first_id")
+    # texts of other documents are left out before the join moves any
+    texts = filtered(docs.select(F.col("doc_id").alias("first_id"), "text"), "first_id", key_set(chosen, "first_id"))
+    texts = texts.join(chosen.select("first_id", "set_id"), "first_id")
     return texts.select("text", "set_id").mapInArrow(run, "set_id long, n long, tokens array<long>")
 
 
