@@ -57,7 +57,7 @@ class Training:
     size: int = 4
     least: int = 3
     most: int = 5
-    rows: int = 4000
+    rows: int = 3000
     chars: int = 20_000
     least_texts: int = 3
     blank: int = 20
@@ -224,14 +224,24 @@ def train(bag: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, how: Tra
 
 
 def sample(docs: DataFrame, labels: DataFrame, how: Training) -> tuple[DataFrame, dict[int, int]]:
-    """``doc_id, toxic, text`` of the training rows, and the number of training labels of each class."""
+    """``doc_id, toxic, text`` of the training rows, and the number of training labels of each class.
+
+    Ids are chosen from the labels, so only the chosen texts move: those of least
+    hash, out of the share of a class that holds a quarter more than are wanted.
+    """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    fit = docs.filter(F.length("text") <= how.chars).join(known, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    order = [F.xxhash64("doc_id", F.lit(how.seed)), F.col("doc_id")]
-    parts = [fit.filter(F.col("toxic") == c).orderBy(*order).limit(how.rows // 2) for c in (0, 1)]
-    return parts[0].unionByName(parts[1]), counts
+    place = F.xxhash64("doc_id", F.lit(how.seed))
+    parts = []
+    for c in (0, 1):
+        share = min(1.0, 1.25 * (how.rows // 2) / max(1, counts.get(c, 0)))
+        some = known.filter((F.col("toxic") == c) & (F.pmod(place, F.lit(1 << 20)) < math.ceil(share * (1 << 20))))
+        parts.append(some.orderBy(F.pmod(place, F.lit(1 << 20)), place, "doc_id").limit(how.rows // 2))
+    # at most ``rows`` ids
+    ids = F.broadcast(parts[0].unionByName(parts[1]))
+    texts = docs.select("doc_id", "text").filter(F.length("text") <= how.chars).join(ids, "doc_id")
+    return texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), counts
 
 
 def fit(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Model:
