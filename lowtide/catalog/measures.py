@@ -11,6 +11,7 @@ from lowtide.catalog import study
 from lowtide.catalog.shape import present
 from lowtide.model import METRIC_NAMES, METRICS, MODES
 from lowtide.operators import report as R
+from lowtide.plans.metrics import HITS
 from lowtide.sources import clinical as C, sinks
 
 MONTHS = [f"1998_{m}" for m in range(1, 13)]
@@ -26,7 +27,7 @@ def shown(result: DataFrame) -> DataFrame:
 def _metric(name: str) -> Callable[[SparkSession, str], DataFrame]:
     metric = METRICS[name]
     # steps that read the candidates several times write them once
-    stage = sinks.stage_some("candidates", "surgeries", "marked") if metric.admission or metric.repeat_scan else None
+    stage = sinks.stage_some(*HITS, "candidates", "surgeries", "marked") if metric.admission or metric.repeat_scan else None
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
         return shown(study.run(spark, sf, (name,), ("10to10",), procedures=name == "feed", stage=stage))

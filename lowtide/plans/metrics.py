@@ -400,7 +400,11 @@ def _go_on(step: str, rows: DataFrame, passed: Column) -> DataFrame:
 STEPS = ("1 tests", "2 cohort", "3 history", "4 admission", "5 scored", "6 unflagged", "7 numerator")
 
 
-def evaluate(inputs: Inputs, book: Rulebook, stage: Stage = stage_some("claim_hits", "service_hits", "drug_hits", "marked"), seen: Seen = _go_on) -> DataFrame:
+#: what every metric reads several times: the claims and services under a rule, and the set of tested patients
+HITS = ("claim_hits", "service_hits", "drug_hits", "tested")
+
+
+def evaluate(inputs: Inputs, book: Rulebook, stage: Stage = stage_some(*HITS, "marked"), seen: Seen = _go_on) -> DataFrame:
     """Numerators and denominators of every cell of the rulebook, in one long result.
 
     ``stage`` may write an intermediate table and read it back, which cuts the
