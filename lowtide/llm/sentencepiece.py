@@ -31,7 +31,7 @@ from lowtide.llm.arrays import LEADING, Block, blocks
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -322,6 +322,25 @@ def decode(docs: DataFrame, path: str, ids: str = "piece_ids", text: str = "deco
     return docs.mapInArrow(run, _append(docs, {text: T.StringType()}))
 
 
+def recode(docs: DataFrame, path: str, scores: str = "rank", text: str = "text", ids: str = "piece_ids") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``docs`` with the text that its piece ids decode to in the place of its
+    text, and the ids as a new column. One Python worker a task holds the pieces, and rows cross over to it once."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(vars(load(path, scores))), docs.columns.index(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, pieces = Memo(), Pieces(**shared.value)
+        for batch in batches:
+            for block in blocks(batch.column(at), BLOCK):
+                part = batch.slice(block.first, block.n)
+                nulls = _nulls(part.column(at))
+                found, offsets = encode_block(block, pieces, memo)
+                back = [x.decode("utf-8", "replace") for x in decode_block(found.astype(np.int64), offsets, pieces)]
+                columns = [pa.array(back, pa.string(), mask=nulls) if i == at else c for i, c in enumerate(part.columns)]
+                yield pa.RecordBatch.from_arrays([*columns, _lists(found, offsets, nulls)], [*batch.schema.names, ids])
+
+    return docs.mapInArrow(run, _append(docs, {ids: T.ArrayType(T.IntegerType())}))
+
+
 def round_trip(docs: DataFrame, path: str, scores: str = "rank") -> DataFrame:
     """``doc_id``, piece ids, and what decoding them gives: its SHA-256 and whether it is the text; both ways in one pass."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(load(path, scores)))

@@ -8,6 +8,7 @@ from collections import Counter
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lowtide.llm import license_scan as L
 from lowtide.llm import repetition as R
@@ -228,3 +229,15 @@ def test_tool_links_take_any_text(spark):
     assert all(got[f"x{k}"] == (".: not object", None) for k in range(2, 6))
     none = spark.createDataFrame([], "conv_id string, call_id string, turn int, name string, arguments string, after string")
     assert T.link(none, spark.createDataFrame([], "conv_id string, call_id string, turn int, content string"), {}).count() == 0
+
+
+def test_recode_is_encode_and_decode(spark):
+    from lowtide.llm import sentencepiece as P
+
+    docs = frame(spark, texts(21)).withColumn("place", F.lit(1))
+    both = P.decode(P.encode(docs, PIECES), PIECES)
+    want = sorted((r.doc_id, r.decoded, r.piece_ids) for r in both.collect())
+    once = P.recode(docs, PIECES)
+    assert once.columns == ["doc_id", "text", "place", "piece_ids"]
+    assert sorted((r.doc_id, r.text, r.piece_ids) for r in once.collect()) == want
+    assert P.recode(docs.limit(0), PIECES).count() == 0
