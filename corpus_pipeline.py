@@ -36,8 +36,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The columns of ``docs``, the piece ids of the text, and the text decoded from them in the place of ``text``."""
-    coded = sentencepiece.encode(docs, PIECES)
-    return sentencepiece.decode(coded.drop("text"), PIECES, text="text").select(*docs.columns, "piece_ids")
+    return sentencepiece.recode(docs, PIECES)
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_deduplication), ("ngram_join", near_duplicates),
