@@ -12,9 +12,18 @@ index, the substrings of each line in those windows the probes; both are hash
 keys. A key's least line is enough to find the lines that have any partner.
 These meet the first line of each of their keys, and the lines still without an
 earlier partner then meet all lines of their keys, so a group of near copies of
-its first line makes no pairs among itself. Pairs are taken under their length
-and letter-count bounds, cut to where they differ, and checked with a
-bit-parallel edit distance on the band of 2t + 1 diagonals.
+its first line makes no pairs among itself. A key with more than ``HEAVY`` index
+lines (log lines, table rows) is not joined but refined: what lies before and
+after the shared segment is cut into segments again, as many as the edits left
+for it plus one, and a shared one of these extends the key. This goes on, first
+lines first, until a key is light or leaves no more characters open than edits.
+Pairs are taken under their length and letter-count bounds, cut to where they
+differ, and checked with a bit-parallel edit distance on the band of 2t + 1
+diagonals.
+
+Refining loses no pair. Of the t + 1 segments of the shorter line take the first
+one, the i-th, before which there are i - 1 edits: it is untouched, and t - i + 1
+edits are left behind it. The same holds inside each of the two gaps.
 
 Null text has no lines, empty text one without a word. Very long lines are
 compared whole; their keys hold a hash, not the segment. Rows of equal id and text
@@ -24,6 +33,8 @@ Other columns pass through ``drop_lines`` untouched.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +44,8 @@ from lowtide.sources.sinks import release, stage
 DISTANCE = 2
 #: length from which near copies count
 LEAST = 24
+#: index lines of a key up to which all its pairs are taken; larger keys are refined, with the same result
+HEAVY = 64
 WORD = r"[^\x20\x09-\x0D]"
 #: groups of characters whose counts bound the distance from below, eight to a long
 LETTERS = (*(x + x.upper() for x in "abcdefghijklmnopqrstuvwxyz"), " ", ".,", "01234", "56789", "-_/:;", "áéíóúñüöä")
@@ -60,10 +73,17 @@ def _windows(distance: int, index_only: bool = False) -> list[tuple[int, int, in
             for shift in ([0] if index_only else range(-(part - 1), part)) if abs(shift - shorter) <= parts - part]
 
 
-def _keyed(lines: DataFrame, distance: int, index_only: bool = False) -> DataFrame:
+def _gaps(*gaps: tuple[Column, Column, Column, Column]) -> Column:
+    """(place, size, size in the index line, edits left) of the open parts beside a segment; those without edits are empty."""
+    names = ("at", "size", "of", "edits")
+    return F.filter(F.array(*(F.struct(*(x.cast("int").alias(n) for x, n in zip(gap, names))) for gap in gaps)), lambda g: g["edits"] > 0)
+
+
+def _keyed(lines: DataFrame, distance: int, index_only: bool = False, gaps: bool = False) -> DataFrame:
     """``lines`` once for each window inside the line, with ``key`` and ``is_index`` and without the line.
 
     Segments are as even as can be, the last ones longer by one; starts count from 1.
+    ``gaps`` adds what the key leaves open.
     """
     parts = distance + 1
     windows = F.array(*(F.struct(F.lit(x).alias("shorter"), F.lit(y).alias("part"), F.lit(z).alias("shift"), F.lit(w).alias("is_index"))
@@ -75,7 +95,33 @@ def _keyed(lines: DataFrame, distance: int, index_only: bool = False) -> DataFra
     rows = rows.withColumns({"start": start.cast("int"), "length": length.cast("int")})
     rows = rows.filter((F.col("start") >= 1) & (F.col("start") + F.col("length") - 1 <= F.col("size")))
     key = F.xxhash64("of", "w.part", F.substring(F.col("line"), F.col("start"), F.col("length")))
-    return rows.select(*(c for c in lines.columns if c != "line"), key.alias("key"), F.col("w.is_index").alias("is_index"))
+    at, part, own = F.col("start"), F.col("w.part"), F.col("start") - F.col("w.shift")
+    left = (F.lit(1), at - 1, own - 1, part - 1)
+    right = (at + F.col("length"), F.col("size") - at - F.col("length") + 1, F.col("of") - own - F.col("length") + 1, parts - part)
+    return rows.select(*(c for c in lines.columns if c != "line"), key.alias("key"), F.col("w.is_index").alias("is_index"),
+                       *([_gaps(left, right).alias("gaps")] if gaps else []))
+
+
+def _refined(rows: DataFrame) -> DataFrame:
+    """``rows`` with their line, once for each window of their longest gap: ``key`` takes in its text, ``gaps`` what stays open."""
+    longest = F.array_max(F.transform("gaps", lambda g, i: F.struct(F.when(g["of"] > g["edits"], g["of"]).otherwise(-1).alias("of"), (-i).alias("i"))))
+    rows = rows.withColumn("pick", -longest["i"]).withColumn("g", F.get("gaps", F.col("pick")))
+    rows = rows.withColumn("parts", F.col("g.edits") + 1).withColumn("part", F.explode(F.expr("sequence(1, parts)")))
+    rows = rows.withColumn("shift", F.explode(F.expr("sequence(1 - part, part - 1)")))
+    rows = rows.filter("abs(shift - (g.size - g.of)) <= parts - part")
+    rows = rows.withColumn("base", F.expr("g.of div parts")).withColumn("short", F.expr("parts - g.of % parts"))
+    rows = rows.withColumn("before", F.expr("(part - 1) * base + greatest(part - 1 - short, 0)")).withColumn(
+        "length", F.expr("base + if(part > short, 1, 0)"))
+    rows = rows.filter("before + shift >= 0 and before + shift + length <= g.size")
+    g, before, shift, length = F.col("g"), F.col("before"), F.col("shift"), F.col("length")
+    start = (g["at"] + before + shift).cast("int")
+    left = (g["at"], before + shift, before, F.col("part") - 1)
+    right = (start + length, g["size"] - before - shift - length, g["of"] - before - length, F.col("parts") - F.col("part"))
+    others = F.filter("gaps", lambda x, i: i != F.col("pick"))
+    new = {"key": F.xxhash64("key", "pick", "part", F.substring(F.col("line"), start, length.cast("int"))),
+           "is_index": F.col("is_index") & (shift == 0), "gaps": F.concat(others, _gaps(left, right))}
+    gone = {"line", "pick", "g", "parts", "part", "shift", "base", "short", "before", "length"}
+    return rows.select(*(new[c].alias(c) if c in new else F.col(c) for c in rows.columns if c not in gone))
 
 
 def _common(a: Column, b: Column, most: Column) -> Column:
@@ -154,10 +200,48 @@ def _near(lines: DataFrame, firsts: DataFrame, distance: int) -> DataFrame:
         "open", F.col("done").isNull()).drop("done"), "lines-open")
     release(unmarked)
     keyed = _keyed(some, distance)
-    still_open = F.when(F.col("s.first") > F.col("r.first"), F.col("s.open")).otherwise(F.col("r.open"))
-    rest = _checked(keyed, keyed.filter("is_index"), some, distance, still_open)
-    release(some)
-    return near.unionByName(rest)
+    heavy = stage(_sizes(keyed).filter(F.col("n") > HEAVY).select("key"), "keys-heavy")
+    found = [near, _checked(keyed, keyed.filter("is_index").join(heavy, "key", "left_anti"), some, distance, _still_open())]
+    if not heavy.isEmpty():
+        found += _near_in_heavy(_keyed(some, distance, gaps=True).join(heavy, "key", "left_semi"), some, narrow, distance)
+    release(heavy, some)
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _sizes(keyed: DataFrame) -> DataFrame:
+    """Number of index lines of each key that has one."""
+    return keyed.filter("is_index").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _still_open() -> Column:
+    return F.when(F.col("s.first") > F.col("r.first"), F.col("s.open")).otherwise(F.col("r.open"))
+
+
+def _near_in_heavy(rows: DataFrame, lines: DataFrame, narrow: list[str], distance: int) -> list[DataFrame]:
+    """``(h1, h2)`` as in ``_near``, from rows whose keys have too many lines: refined level by level.
+
+    Open parts get shorter on each level, so the levels end; a light key's pairs
+    are all taken, and so are those of a key that cannot be refined any more: its
+    index lines differ in ``distance`` characters at most, so all but the first
+    are done and only longer lines without a partner meet them.
+    """
+    found, level = [], stage(rows, "segment-level")
+    while not level.isEmpty():
+        finer = stage(_refined(level.join(lines.select("h1", "h2", "line"), ["h1", "h2"])), "segment-finer")
+        release(level)
+        heads = finer.filter("is_index").groupBy("key").agg(F.min(F.struct(*narrow, "open")).alias("r")).select("key", "r.*")
+        near = _checked(finer, heads, lines, distance, _still_open())
+        left = stage(finer.join(near.withColumn("done", F.lit(True)), ["h1", "h2"], "left").withColumn(
+            "open", F.col("open") & F.col("done").isNull()).drop("done"), "segment-open")
+        release(finer)
+        more = F.max(F.exists("gaps", lambda g: g["of"] > g["edits"]))
+        heavy = stage(left.groupBy("key").agg(F.count_if("is_index").alias("n"), F.max("open").alias("open"), more.alias("more")).filter(
+            (F.col("n") > HEAVY) & F.col("open") & F.col("more")).select("key"), "keys-heavy")
+        found += [near, _checked(left, left.filter("is_index").join(heavy, "key", "left_anti"), lines, distance, _still_open())]
+        level = stage(left.join(heavy, "key", "left_semi"), "segment-level")
+        release(left, heavy)
+    release(level)
+    return found
 
 
 def _checked(probes: DataFrame, index: DataFrame, lines: DataFrame, distance: int, wanted: Column) -> DataFrame:

@@ -156,7 +156,9 @@ def test_lines_dropped(spark):
     assert D.report(docs.limit(0)).count() == 0 and D.drop_lines(docs.limit(0)).count() == 0
 
 
-def test_lines_of_all_distances(spark):
+@pytest.mark.parametrize("heavy", [64, 1])
+def test_lines_of_all_distances(spark, monkeypatch, heavy):
+    monkeypatch.setattr(D, "HEAVY", heavy)
     rng = random.Random(5)
     base = ["".join(rng.choice("abcdef ") for _ in range(rng.randint(24, 40))) for _ in range(12)]
     values = []
@@ -173,6 +175,46 @@ def test_lines_of_all_distances(spark):
     assert_same(D.report(docs), con, oracle.OP10)
 
 
+def log_lines(n, seed):
+    """Lines of one form; a few differ from another in one or two characters, or in length."""
+    rng, lines = random.Random(seed), []
+    for k in range(n):
+        if k % 50 == 49:
+            t = list(rng.choice(lines))
+            for _ in range(rng.randint(1, 2)):
+                at = rng.randrange(len(t))
+                t[at: at + rng.randint(0, 1)] = [rng.choice("0123456789")] * rng.randint(0, 1)
+            lines.append("".join(t))
+        else:
+            lines.append(f"2024-{rng.randint(1, 12):02}-{rng.randint(1, 28):02} {rng.randint(0, 23):02}:{rng.randint(0, 59):02}:{rng.randint(0, 59):02} "
+                         f"INFO request done id={rng.getrandbits(32):08x} ms={rng.randint(1, 9999)}")
+    return lines
+
+
+def test_log_lines_make_few_pairs(spark, monkeypatch):
+    pairs, plain = [], D.stage
+
+    def counting(df, name):
+        table = plain(df, name)
+        if name == "line-pairs":
+            pairs.append(table.count())
+        return table
+
+    monkeypatch.setattr(D, "stage", counting)
+    monkeypatch.setattr(D, "HEAVY", 16)
+    made = []
+    for n in (400, 1600):
+        pairs.clear()
+        values = ["\n".join(log_lines(n, 7)[k::20]) for k in range(20)]
+        docs = docs_of(spark, values)
+        con = duck()
+        con.register("documents", docs.toPandas())
+        assert_same(D.report(docs), con, oracle.OP10)
+        made.append(sum(pairs))
+    # four times the lines: sixteen times the pairs if all lines of the form met
+    assert made[1] < 8 * made[0] and made[1] < 1600 * 1599 / 8, made
+
+
 def test_trigram_queries():
     def spelled(pattern):
         return {frozenset(s) for clause in X.mandatory(pattern) for s in clause}
