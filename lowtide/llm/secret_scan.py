@@ -49,6 +49,9 @@ FURTHER = (
 )
 
 MOST_STRINGS = 64
+#: spans that grow one array; a text has any number of such runs
+RUN = 256
+SPANS = "array<struct<start: bigint, rank: int, end: bigint, kind: string>>"
 
 
 def mandatory(pattern: str) -> list[list[frozenset[str]]]:
@@ -150,16 +153,28 @@ def spans_of(rule: Rule, order: int, text: Column) -> Column:
     checked = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found
     gaps = F.split(text, rule.pattern, -1)
     rows = F.arrays_zip(found.alias("m"), checked.alias("v"), F.slice(gaps, F.lit(1), F.size(found)).alias("g"))
-    empty = F.expr("cast(array() as array<struct<start: bigint, rank: int, end: bigint, kind: string>>)")
-    begin = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"))
+    rows = F.transform(rows, lambda x: F.struct(
+        F.length(x["g"]).alias("gap"), F.length(x["m"]).alias("own"), (F.length(x["v"]) >= rule.least).alias("kept")))
 
     def step(s: Column, x: Column) -> Column:
-        start = s["at"] + F.length(x["g"])
-        end = start + F.length(x["m"])
+        start = s["at"] + x["gap"]
+        end = start + x["own"]
         one = F.array(F.struct(start.alias("start"), F.lit(order).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind")))
-        return F.struct(end.alias("at"), F.when(F.length(x["v"]) >= rule.least, F.concat(s["out"], one)).otherwise(s["out"]).alias("out"))
+        return F.struct(end.alias("at"), F.when(x["kept"], F.concat(s["out"], one)).otherwise(s["out"]).alias("out"))
 
-    return F.aggregate(rows, begin, step)["out"]
+    def placed(rows: Column) -> Column:
+        # growing an array copies it, so it grows in runs; each run starts where the lengths before it end
+        runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(rows), F.lit(1)), F.lit(RUN)), lambda at: F.slice(rows, at, F.lit(RUN)))
+        return F.transform(F.array(runs), lambda runs: F.flatten(F.zip_with(runs, starts(runs), lambda run, at: F.aggregate(
+            run, F.struct(at.alias("at"), F.expr(f"cast(array() as {SPANS})").alias("out")), step)["out"])))[0]
+
+    def starts(runs: Column) -> Column:
+        zero = F.lit(0).cast("long")
+        size = F.transform(runs, lambda run: F.aggregate(run, zero, lambda n, x: n + x["gap"] + x["own"]))
+        begin = F.struct(zero.alias("at"), F.expr("cast(array() as array<bigint>)").alias("out"))
+        return F.aggregate(size, begin, lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")))["out"]
+
+    return F.transform(F.array(rows), placed)[0]
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + FURTHER) -> DataFrame:
@@ -169,7 +184,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + FURTHER) -> DataFrame
     t = texts.alias("t")
     joined = t.join(c, F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.body") == F.col("c.body")), "left").select(
         "t.doc_id", "t.text", "kinds")
-    none = F.expr("cast(array() as array<struct<start: bigint, rank: int, end: bigint, kind: string>>)")
+    none = F.expr(f"cast(array() as {SPANS})")
     parts = []
     for order, rule in enumerate(rules):
         spans = spans_of(rule, order, F.col("text"))
