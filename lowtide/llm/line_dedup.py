@@ -200,7 +200,8 @@ def _near(lines: DataFrame, firsts: DataFrame, distance: int) -> DataFrame:
         "open", F.col("done").isNull()).drop("done"), "lines-open")
     release(unmarked)
     keyed = _keyed(some, distance)
-    heavy = stage(_sizes(keyed).filter(F.col("n") > HEAVY).select("key"), "keys-heavy")
+    heavy = _keyed(some, distance, index_only=True).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    heavy = stage(heavy.filter(F.col("n") > HEAVY).select("key"), "keys-heavy")
     found = [near, _checked(keyed, keyed.filter("is_index").join(heavy, "key", "left_anti"), some, distance, _still_open())]
     if not heavy.isEmpty():
         found += _near_in_heavy(_keyed(some, distance, gaps=True).join(heavy, "key", "left_semi"), some, narrow, distance)
@@ -208,11 +209,6 @@ def _near(lines: DataFrame, firsts: DataFrame, distance: int) -> DataFrame:
     return reduce(DataFrame.unionByName, found).distinct()
 
 
-def _sizes(keyed: DataFrame) -> DataFrame:
-    """Number of index lines of each key that has one."""
-    return keyed.filter("is_index").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-
-
 def _still_open() -> Column:
     return F.when(F.col("s.first") > F.col("r.first"), F.col("s.open")).otherwise(F.col("r.open"))
 
