@@ -14,9 +14,12 @@ SECONDARY_METRICS = ("dexa", "narc", "vitd")
 
 def placeholder_conflicts(claims: DataFrame, xwalk: DataFrame, code: str = "CODE") -> DataFrame:
     """Claim codes that begin with the part of a crosswalk code before its placeholder X."""
-    target = codes.upper_x(F.col("ICD10_subcode"))
+    # the code goes through a generator, past which no filter is moved: a pushed filter would repeat the
+    # expressions that make the code, and the scan's generated method would be too large to be compiled
+    coded = xwalk.select(F.inline(F.array(F.struct(codes.upper_x(F.col("ICD10_subcode")).alias("_code")))))
+    target = F.col("_code")
     tail = F.substring(target, F.lit(2), F.length(target))
-    stems = xwalk.filter(F.contains(tail, F.lit("X"))).select(
+    stems = coded.filter(F.contains(tail, F.lit("X"))).select(
         F.concat(F.substring(target, 1, 1), F.substring_index(tail, "X", 1)).alias("stem")).distinct()
     used = claims.groupBy(code).agg(F.count(F.lit(1)).alias("n_claims"))
     return with_prefixes(used, code, "stem").join(stems, "stem", "left_semi").select(code, "stem", "n_claims")

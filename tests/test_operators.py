@@ -368,3 +368,14 @@ def test_settings_are_checked():
         M.Mode("m", 9, "rules")
     with pytest.raises(ValueError):
         M.Mode("m", 8, "none")
+
+
+def test_placeholder_stems_are_made_once(spark):
+    """No filter repeats the text work of a crosswalk that is itself computed; null and short codes make no stem."""
+    rows = spark.createDataFrame([("S22.00x",), ("Sx",), ("xab",), ("C61",), ("",), (None,)], "raw string")
+    wide = rows.distinct().select(codes.strip_dots(F.col("raw")).alias("ICD10_subcode"))
+    claims = spark.createDataFrame([("S22.0",), ("S22",), ("S22001",), ("S22001",), (None,)], "CODE string")
+    got = Q.placeholder_conflicts(claims, wide)
+    assert rows_of(got) == Counter({("S22001", "S2200", 2): 1, ("S22.0", "S", 1): 1, ("S22", "S", 1): 1, ("S22001", "S", 2): 1})
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1 and plan.count("translate") == 1
