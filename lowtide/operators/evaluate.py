@@ -24,9 +24,11 @@ def not_numerator(result: DataFrame) -> DataFrame:
     """
     parts = [F.when(~is_monthly(), F.col(c)).alias(f"_{c}") for c in ("TEST_CODE", "TEST_DATE_a")]
     keyed = result.select("*", *[F.coalesce(p.cast("string"), F.lit("")).alias(n) for p, n in zip(parts, ("_code", "_day"))])
-    key = [*MONTH_KEY, "_code", "_day"]
+    # the patient first: the join sorts by the head of the first key, and modes and metrics are few
+    key = ["MRN", "TEST_DATE_month", "metric", "mode", "_code", "_day"]
     hits = keyed.filter("term = 'numerator'").select(*key).distinct()
-    return keyed.filter("term = 'denominator'").join(hits, key, "left_anti").drop("_code", "_day")
+    rest = [c for c in result.columns if c not in MONTH_KEY]
+    return keyed.filter("term = 'denominator'").join(hits, key, "left_anti").select(*MONTH_KEY, *rest)
 
 
 def unshared_rows(result: DataFrame) -> DataFrame:
@@ -58,7 +60,7 @@ def consolidate_gold(sets: list[DataFrame]) -> DataFrame:
     clear = pot.filter(F.col("Term_assessed").isin(NUMER, NOT_NUMER)).distinct()
     grain = F.when(~is_monthly(), F.col("TEST_CODE")).otherwise("")
     kept = first_per_key(clear.withColumn("_grain", grain),
-                         ["metric", "MRN", "TEST_DATE_month", "Term_assessed", "_grain"], ["TEST_CODE"])
+                         ["MRN", "TEST_DATE_month", "metric", "Term_assessed", "_grain"], ["TEST_CODE"])
     return kept.drop("_grain")
 
 
@@ -75,7 +77,7 @@ def judged(labelled_rows: DataFrame, gold: DataFrame) -> DataFrame:
                                 F.when(by_month, "").otherwise(F.col("TEST_CODE")).alias("_code"))
     forms = F.when(is_monthly(), F.array(F.col("TEST_CODE"), F.lit(""))).otherwise(F.array(F.col("TEST_CODE")))
     right = gold.select("metric", "MRN", "TEST_DATE_month", "Term_assessed", F.explode(forms).alias("_code"))
-    return left.join(right, ["metric", "MRN", "TEST_DATE_month", "_code"]).select(
+    return left.join(right, ["MRN", "TEST_DATE_month", "metric", "_code"]).select(
         "mode", "metric", "MRN", "TEST_CODE", "TEST_DATE_month", "label", "Term_assessed",
         agreement(F.col("label"), F.col("Term_assessed")).alias("agreement"))
 

@@ -83,7 +83,7 @@ def kept_surgeries(surgeries: DataFrame, admissions: DataFrame) -> DataFrame:
     to surgery, so that admission is the same for every test of the patient and
     can be found per patient, without pairing tests and surgeries.
     """
-    keys = ["metric", "MRN"]
+    keys = ["MRN", "metric"]
     rated = stage(surgery_admission(surgeries, admissions, keys), "rated")
     stay = F.when(F.col("ADM_DT_a").isNotNull(), F.struct("ADM_DT_a", "DIS_DT"))
     latest = rated.groupBy(*keys).agg(F.max(stay).alias("_best"))

@@ -27,7 +27,8 @@ from lowtide.operators.skew import Deal, deal, join_facts
 from lowtide.plans.rulebook import ALL_CODES, Rulebook, choose, scope_of
 from lowtide.sources.sinks import stage_some
 
-CELL = ["mode", "metric", "MRN"]
+#: the patient comes first: joins and groupings sort by the head of the first key, and modes and metrics are few
+CELL = ["MRN", "metric", "mode"]
 
 
 @dataclass(frozen=True)
@@ -117,17 +118,20 @@ def first_claims(claims: DataFrame, book: Rulebook) -> DataFrame | None:
     return _coded_claims(claims, book).groupBy("MRN").agg(*measures)
 
 
-def _pick_first(book: Rulebook) -> tuple[Column, Column]:
-    """The row's own first-claim columns out of the wide patient row."""
+def _pick_first(book: Rulebook, names: list[str]) -> tuple[Column, Column]:
+    """The row's own first-claim times out of the patient's ``_times``, which hold the columns ``names`` in order.
+
+    A place is the metric's first one and the scope's (or mode's) among the metric's, so the lookup is as
+    short for 55 cells as for one; other metrics have no place and get null.
+    """
+    scopes = sorted({scope_of(m) for m in book.modes})
+    claimed = {m.name: names.index(_first_name(m.name, scopes[0])) for m in book.metrics if m.needs_claim}
+    culled = {m.name: names.index(f"new_{m.name}_{book.modes[0].name}") for m in book.metrics if m.cull_old_complaint}
+    nth_scope = choose(F.col("mode"), {m.name: scopes.index(scope_of(m)) for m in book.modes})
+    nth_mode = choose(F.col("mode"), {m.name: k for k, m in enumerate(book.modes)})
     nothing = F.lit(None).cast("timestamp")
-    first, new = nothing, nothing
-    for metric in book.metrics:
-        for mode in book.modes:
-            here = (F.col("metric") == metric.name) & (F.col("mode") == mode.name)
-            if metric.needs_claim:
-                first = F.when(here, F.col(_first_name(metric.name, scope_of(mode)))).otherwise(first)
-            if metric.cull_old_complaint:
-                new = F.when(here, F.col(f"new_{metric.name}_{mode.name}")).otherwise(new)
+    first = F.get("_times", choose(F.col("metric"), claimed) + nth_scope) if claimed else nothing
+    new = F.get("_times", choose(F.col("metric"), culled) + nth_mode) if culled else nothing
     return first, new
 
 
@@ -185,9 +189,10 @@ def _with_history(tests: DataFrame, firsts: DataFrame | None, facts: DataFrame |
     else:
         tests = tests.withColumn("first_dx", nothing).withColumn("first_ref", nothing)
     if firsts is not None:
-        first, new = _pick_first(book)
-        tests = join_facts(tests, firsts, ["MRN"], "left", by).withColumn("first_any", first).withColumn("first_new", new)
-        return tests.drop(*[c for c in firsts.columns if c != "MRN"])
+        names = [c for c in firsts.columns if c != "MRN"]
+        first, new = _pick_first(book, names)
+        times = firsts.select("MRN", F.array(*names).alias("_times"))
+        return join_facts(tests, times, ["MRN"], "left", by).withColumns({"first_any": first, "first_new": new}).drop("_times")
     return tests.withColumn("first_any", nothing).withColumn("first_new", nothing)
 
 
@@ -229,7 +234,7 @@ def _admissions(tests: DataFrame, surgery_hit: DataFrame | None, inputs: Inputs,
         rows = tests.filter(F.col("metric").isin(by_surgery)).drop("ADM_DT_a", "SURG_DATE")
         rows = rows.withColumn("_until", F.col("TEST_DATE") + F.make_dt_interval(window))
         best = F.struct("SURG_DATE", "ADM_DT_a", "DIS_DT")
-        rows = prior_summary(rows, surgeries, ["metric", "MRN"], {"_s": ("max", best)}, at="_until", event_at="SURG_DATE")
+        rows = prior_summary(rows, surgeries, ["MRN", "metric"], {"_s": ("max", best)}, at="_until", event_at="SURG_DATE")
         rows = rows.filter(F.col("_s.SURG_DATE") > F.col("TEST_DATE")).select("*", "_s.*").drop("_s")
         rows = rows.withColumn("adms_flag", recently_admitted(
             F.to_date("SURG_DATE"), F.col("TEST_DATE"), F.col("ADM_DT_a"), F.col("DIS_DT"), window))
@@ -279,7 +284,7 @@ def _flagged(tests: DataFrame, claim_hit: DataFrame, service_hit: DataFrame | No
     if flagged:
         # A secondary code only counts on a row that also has a claim within
         # lookback: any claim, or (left-joined metrics) one under a rule.
-        cell = ["scope", "metric", "MRN"]
+        cell = ["MRN", "metric", "scope"]
         modes = {m.name: scope_of(m) for m in book.modes}
         trimmed = [m.name for m in flagged if not m.needs_claim]
         tests = tests.withColumn("scope", F.when(F.col("metric").isin(trimmed), F.col("mode"))
@@ -313,7 +318,7 @@ def _culled(tests: DataFrame, inputs: Inputs, book: Rulebook, by: Deal) -> DataF
     scoped = tests.withColumn("scope", choose(F.col("mode"), {m.name: scope_of(m) for m in book.modes}))
     recent = claim_times(inputs.claims, book, metrics)
     window = F.coalesce(book.per_metric("window"), F.lit(1))
-    scoped = exists_within(scoped, recent, ["scope", "metric", "MRN"], window, "_recent", open_end=True, by=by).drop("scope")
+    scoped = exists_within(scoped, recent, ["MRN", "metric", "scope"], window, "_recent", open_end=True, by=by).drop("scope")
     keep = F.col("_recent") | F.coalesce(F.col("first_new") <= F.col("TEST_DATE"), F.lit(False))
     return scoped.withColumn("in_numerator", F.col("in_numerator") & (~book.is_one("cull_old_complaint") | keep)).drop("_recent")
 
@@ -330,7 +335,7 @@ def _service_terms(tests: DataFrame, book: Rulebook) -> DataFrame:
         "ENC_ID": F.when((F.col("term") == "numerator") & book.is_one("repeat_scan"), F.col("repeat_enc"))
         .otherwise(F.col("ENC_ID")),
     })
-    keys = ["mode", "metric", "term", "MRN", "TEST_DATE_a", "TEST_CODE"]
+    keys = [*CELL, "term", "TEST_DATE_a", "TEST_CODE"]
     best = rows.groupBy(*keys).agg(F.min(F.struct(*_PICK)).alias("_p"))
     return best.select(*keys, *[F.col(f"_p.{c}").alias(c) for c in _PICK],
                        dates.month_label(F.col("TEST_DATE_a")).alias("TEST_DATE_month"),

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,15 +76,18 @@ class Rulebook:
 
     def is_one(self, attribute: str) -> Column:
         names = [m.name for m in self.metrics if getattr(m, attribute)]
-        return F.col("metric").isin(names) if names else F.lit(False)
+        return F.array_contains(F.array(*(F.lit(n) for n in names)), F.col("metric")) if names else F.lit(False)
 
 
 def choose(column: Column, values: dict) -> Column:
-    """Literal lookup as a CASE expression."""
+    """Literal lookup in a constant map; null for other keys.
+
+    A CASE would write one branch a key into every generated method that uses it,
+    and methods that grow too large are never compiled.
+    """
     if not values:
         return F.lit(None)
-    return reduce(lambda case, kv: case.when(column == kv[0], F.lit(kv[1])), list(values.items())[1:],
-                  F.when(column == next(iter(values)), F.lit(next(iter(values.values())))))
+    return F.element_at(F.create_map(*(F.lit(x) for x in chain.from_iterable(values.items()))), column)
 
 
 def scope_of(mode: Mode) -> str:

@@ -379,3 +379,53 @@ def test_placeholder_stems_are_made_once(spark):
     assert rows_of(got) == Counter({("S22001", "S2200", 2): 1, ("S22.0", "S", 1): 1, ("S22", "S", 1): 1, ("S22001", "S", 2): 1})
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace") == 1 and plan.count("translate") == 1
+
+
+def test_literal_lookup_has_no_branches(spark):
+    """A lookup in constants stays as short for many keys as for few; other keys and null give null."""
+    values = {f"k{i}": i for i in range(60)}
+    df = spark.createDataFrame([("k0",), ("k59",), ("x",), (None,)], "k string").select("k", rulebook.choose(F.col("k"), values).alias("v"))
+    assert rows_of(df) == Counter({("k0", 0): 1, ("k59", 59): 1, ("x", None): 1, (None, None): 1})
+    assert "CASE" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert rows_of(df.select(rulebook.choose(F.col("k"), {}).alias("v"))) == Counter({(None,): 4})
+
+
+def test_first_claims_are_looked_up_by_place(spark):
+    """Every cell gets its own first times, whatever the metrics and modes beside it, without a branch a cell."""
+    from lowtide.catalog import study
+    from lowtide.plans import metrics as P
+
+    for metrics, modes in ((list(M.METRIC_NAMES), list(M.MODES)), (["cerv", "lbp"], ["claimto9_reimb"]), (["card"], ["10to10"])):
+        book = study.book(spark, tuple(metrics), tuple(modes))
+        claims = spark.createDataFrame([("p", at("1996-03-01"), "M545", 66.0, "F"), ("p", at("1996-04-01"), "I252", 66.0, "F"),
+                                        ("q", at("1996-05-01"), "M81", 41.0, "M"), ("q", at("1996-06-01"), "N401", 41.0, "M")],
+                                       "MRN string, EVT_DATE timestamp, ICD10_subcode string, AgeAtTest double, GENDER string")
+        firsts = P.first_claims(claims, book)
+        cells = [(who, metric, mode, at("1998-02-01")) for who in ("p", "q", "r") for metric in metrics for mode in modes]
+        tests = spark.createDataFrame(cells, "MRN string, metric string, mode string, TEST_DATE timestamp")
+        got = P._with_history(tests, firsts, None, book, I.Deal(("MRN",), {}))
+        wide = {r.MRN: r.asDict() for r in firsts.collect()} if firsts is not None else {}
+        scopes = {m.name: rulebook.scope_of(m) for m in book.modes}
+        for r in got.collect():
+            row = wide.get(r.MRN, {})
+            assert r.first_any == row.get(f"any_{r.metric}_{scopes[r['mode']]}")
+            assert r.first_new == row.get(f"new_{r.metric}_{r['mode']}")
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.split("Aggregate")[0].count("CASE") == 0
+
+
+def test_joins_sort_by_patient_first(spark):
+    """Modes and metrics are few: a join that sorts by them first compares whole keys."""
+    from lowtide.plans import metrics as P
+
+    assert P.CELL[0] == "MRN"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = spark.createDataFrame([("10to10", "lbp", "p", "c", at("1998-02-01"), "1998_2", "Numer")],
+                                     "mode string, metric string, MRN string, TEST_CODE string, TEST_DATE_a timestamp, TEST_DATE_month string, label string")
+        gold = spark.createDataFrame([("lbp", "p", "c", "Numer", "1998_2")], "metric string, MRN string, TEST_CODE string, Term_assessed string, TEST_DATE_month string")
+        got = E.judged(rows, gold)
+        assert [r.agreement for r in got.collect()] == ["TNumer"]
+        assert "SortMergeJoin [MRN" in got._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
